@@ -116,3 +116,23 @@ def key_percentiles(df: DataFrame, key: str, value: str, quantiles: list[float])
         .where((F.col("before") < need) & (need <= F.col("before") + F.col("n")))
         .select("key_value", "quantile", F.col("item").alias("value"))
     )
+
+
+def even_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "inner", hot_parts: int = 1000) -> DataFrame:
+    """``big`` joined with ``lookup``, which has at most one row per key, however uneven the keys of ``big``.
+
+    A key with more than one in ``hot_parts`` of all rows is hot; by that there
+    are fewer than ``hot_parts`` of them, so their lookup rows can be broadcast at
+    any size of the data. All other rows are shuffled by key. ``how`` is
+    ``inner`` or ``left``; null keys match nothing.
+    """
+    total = big.agg(F.count(F.lit(1)).alias("_total"))
+    hot = (
+        big.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .join(F.broadcast(total), F.col("_n") * hot_parts > F.col("_total"))
+        .select(key)
+    )
+    at_hot = big.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(lookup.join(F.broadcast(hot), key, "left_semi")), key, how)
+    return at_hot.unionByName(big.join(F.broadcast(hot), key, "left_anti").join(lookup, key, how))
