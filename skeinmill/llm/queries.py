@@ -7,10 +7,20 @@ from pyspark.sql import functions as F
 
 from skeinmill.llm import components as C
 from skeinmill.llm import glyphs as G
+from skeinmill.llm import names as N
 from skeinmill.llm import survivor as V
 from skeinmill.session import cut, table
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return N.same_name_pairs(table(spark, d, "entities"), table(spark, d, "aliases"))
+
+
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Every person and institution with its group."""
+    return N.name_groups(table(spark, d, "entities"), table(spark, d, "aliases"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     groups = cut(C.alias_groups(table(spark, d, "aliases")))
     several = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("group_id")
@@ -40,7 +50,7 @@ def p9_canonical(spark: SparkSession, d: str) -> DataFrame:
     return G.canonical_texts(table(spark, d, "documents")).select("doc_id", "canonical")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_groups, p6_found, p6_survivors, p9_found, p9_canonical)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_groups, p6_found, p6_survivors, p9_found, p9_canonical)}
 
 _FILLERS = "('', '-', '--', '?', 'n/a', 'n.a.', 'n/s', 'nil', 'none', 'not available', 'not given', 'not known', 'not stated', 'null', 'tbd', 'unknown', 'unspecified')"
 _GROUPS = f"""rows AS (
