@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skeinmill.llm import components as C
 from skeinmill.llm import glyphs as G
+from skeinmill.llm import leakage as L
 from skeinmill.llm import names as N
 from skeinmill.llm import survivor as V
 from skeinmill.session import cut, table
@@ -41,6 +42,15 @@ def p6_survivors(spark: SparkSession, d: str) -> DataFrame:
     return V.survivors(table(spark, d, "entities"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return L.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
+
+
+def p7_items(spark: SparkSession, d: str) -> DataFrame:
+    """The items that leaked, with the number of documents they stand in."""
+    return L.leaked_items(L.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return G.look_alike_pairs(table(spark, d, "documents"))
 
@@ -50,7 +60,7 @@ def p9_canonical(spark: SparkSession, d: str) -> DataFrame:
     return G.canonical_texts(table(spark, d, "documents")).select("doc_id", "canonical")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_groups, p6_found, p6_survivors, p9_found, p9_canonical)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_groups, p6_found, p6_survivors, p7_found, p7_items, p9_found, p9_canonical)}
 
 _FILLERS = "('', '-', '--', '?', 'n/a', 'n.a.', 'n/s', 'nil', 'none', 'not available', 'not given', 'not known', 'not stated', 'null', 'tbd', 'unknown', 'unspecified')"
 _GROUPS = f"""rows AS (
