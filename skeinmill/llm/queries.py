@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skeinmill.llm import components as C
 from skeinmill.llm import glyphs as G
 from skeinmill.llm import leakage as L
+from skeinmill.llm import mixing as M
 from skeinmill.llm import names as N
 from skeinmill.llm import survivor as V
 from skeinmill.session import cut, table
@@ -51,6 +52,17 @@ def p7_items(spark: SparkSession, d: str) -> DataFrame:
     return L.leaked_items(L.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")))
 
 
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The selection: which tokens of which document fill each slot, and in which repeat of their source."""
+    return M.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and reached share, tokens, and repeats of every source with a target."""
+    docs, targets = table(spark, d, "documents"), table(spark, d, "mix_targets")
+    return M.shares(cut(M.mix(docs, targets)), M.token_counts(docs), targets)
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return G.look_alike_pairs(table(spark, d, "documents"))
 
@@ -60,7 +72,7 @@ def p9_canonical(spark: SparkSession, d: str) -> DataFrame:
     return G.canonical_texts(table(spark, d, "documents")).select("doc_id", "canonical")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_groups, p6_found, p6_survivors, p7_found, p7_items, p9_found, p9_canonical)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_groups, p6_found, p6_survivors, p7_found, p7_items, p8_mix, p8_shares, p9_found, p9_canonical)}
 
 _FILLERS = "('', '-', '--', '?', 'n/a', 'n.a.', 'n/s', 'nil', 'none', 'not available', 'not given', 'not known', 'not stated', 'null', 'tbd', 'unknown', 'unspecified')"
 _GROUPS = f"""rows AS (
