@@ -118,21 +118,27 @@ def key_percentiles(df: DataFrame, key: str, value: str, quantiles: list[float])
     )
 
 
-def even_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "inner", hot_parts: int = 1000) -> DataFrame:
+#: A key is hot if it holds more than one in HOT_PARTS rows and more than HOT_ROWS of them.
+HOT_PARTS = 1_000
+HOT_ROWS = 10_000
+
+
+def hot_keys(df: DataFrame, key: str) -> list:
+    """The hot keys of a table: by their definition fewer than HOT_PARTS, so they may come to the driver."""
+    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS)
+    return [r[0] for r in counts.join(F.broadcast(total), F.col("_n") * HOT_PARTS > F.col("_total")).select(key).collect()]
+
+
+def even_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """``big`` joined with ``lookup``, which has at most one row per key, however uneven the keys of ``big``.
 
-    A key with more than one in ``hot_parts`` of all rows is hot; by that there
-    are fewer than ``hot_parts`` of them, so their lookup rows can be broadcast at
-    any size of the data. All other rows are shuffled by key. ``how`` is
-    ``inner`` or ``left``; null keys match nothing.
+    The lookup rows of hot keys, fewer than HOT_PARTS, are broadcast at any size
+    of the data; all other rows are shuffled by key. ``how`` is ``inner`` or ``left``;
+    null keys match nothing. ``big`` is read once more to count its keys.
     """
-    total = big.agg(F.count(F.lit(1)).alias("_total"))
-    hot = (
-        big.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .join(F.broadcast(total), F.col("_n") * hot_parts > F.col("_total"))
-        .select(key)
-    )
-    at_hot = big.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(lookup.join(F.broadcast(hot), key, "left_semi")), key, how)
-    return at_hot.unionByName(big.join(F.broadcast(hot), key, "left_anti").join(lookup, key, how))
+    hot = hot_keys(big, key)
+    if not hot:
+        return big.join(lookup, key, how)
+    at = F.coalesce(F.col(key).isin(*hot), F.lit(False))
+    return big.where(at).join(F.broadcast(lookup.where(F.col(key).isin(*hot))), key, how).unionByName(big.where(~at).join(lookup, key, how))
