@@ -173,13 +173,13 @@ def average_linkage(pairs: DataFrame, least: float = LINKAGE) -> DataFrame:
     while True:
         sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
         sa, sb = sizes.select(F.col("cluster").alias("a"), F.col("n").alias("na")), sizes.select(F.col("cluster").alias("b"), F.col("n").alias("nb"))
-        mean = even_join(even_join(links, sa, "a"), sb, "b").select("a", "b", (F.col("total") / (F.col("na") * F.col("nb"))).alias("mean")).where(F.col("mean") >= least)
+        mean = links.join(sa, "a").join(sb, "b").select("a", "b", (F.col("total") / (F.col("na") * F.col("nb"))).alias("mean")).where(F.col("mean") >= least)
         rank = F.struct("mean", F.xxhash64("a", "b").alias("h"), "a", "b")
         best = mean.select(rank.alias("r"), F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.max("r").alias("r"))
         merged = cut(best.groupBy("r").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 2).select(F.col("r.a").alias("keep"), F.col("r.b").alias("old")))
         if merged.isEmpty():
             return members
-        renamed = lambda df, c: even_join(df, merged.select(F.col("old").alias(c), "keep"), c, "left").withColumn(c, F.coalesce("keep", c)).drop("keep")
+        renamed = lambda df, c: df.join(merged.select(F.col("old").alias(c), "keep"), c, "left").withColumn(c, F.coalesce("keep", c)).drop("keep")
         members = cut(renamed(members, "cluster"))
         moved = renamed(renamed(links, "a"), "b").where(F.col("a") != F.col("b"))
         links = cut(moved.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("total").alias("total")))
