@@ -3,7 +3,7 @@
 1. Every spelling is read into a place (family name, or town of an institution)
    and what stands there (given name, or kind and subject), in one form.
    Given names, short forms and subjects are learned from the corpus.
-2. Places are weighted character n-gram vectors. A distributed sparse join finds
+2. Places are weighted character 3-gram vectors. A distributed sparse join finds
    all pairs of the same kind and given name at or above a cosine threshold: only
    the rarest n-grams of each vector, up to the weight that a pair at the
    threshold must share, are indexed. There is no top-n cap, so no partner is
@@ -32,7 +32,7 @@ from skeinmill.session import cut
 #: A word has to make up at least one in so many to be learned: at most so many are.
 VOCABULARY = 20_000
 #: Cosine from which two spellings of a place are compared letter by letter.
-COSINE = 0.4
+COSINE = 0.45
 #: Average similarity at which groups of spellings still merge.
 LINKAGE = 0.2
 _READ = "entity_id string, type string, spelling string, place string, full string, hint string, middle string"
@@ -124,39 +124,46 @@ def readings(rows: DataFrame) -> DataFrame:
 
 
 def _grams(place):
-    """2- and 3-grams of a place with its edges marked."""
-    s = F.concat(F.lit("^"), place, F.lit("$"))
-    cuts = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - (n - 1), F.lit(1))), lambda i: F.substring(s, i, F.lit(n)))
-    return F.array_distinct(F.concat(cuts(2), cuts(3)))
+    """3-grams of a place with its edges marked, each with its position."""
+    s = F.concat(F.lit("^^"), place, F.lit("$$"))
+    return F.transform(F.sequence(F.lit(1), F.length(s) - 2), lambda i: F.struct(F.substring(s, i, F.lit(3)).alias("gram"), i.alias("at")))
 
 
-def cosine_pairs(keys: DataFrame, least: float = COSINE) -> DataFrame:
+def cosine_pairs(keys: DataFrame, least: float = COSINE, reach: int | None = None) -> DataFrame:
     """(a, b, cosine) of all keys (key, block, place) of one block with a cosine of at least ``least``, a < b.
 
-    Weights are inverse document frequencies over all keys. Each vector is cut
-    where what is left of it weighs less than ``least``: two vectors that share
-    nothing before their cuts cannot reach it. Blocks are joined by block and
-    n-gram together, so a block with a third of all keys spreads over its n-grams.
+    Weights are square roots of inverse document frequencies over all keys. Each
+    vector is cut where what is left of it weighs less than ``least``: two vectors
+    that share nothing before their cuts cannot reach it. With ``reach``, only pairs
+    count whose lengths, and the places of some such n-gram, differ by at most so
+    many characters, as those within ``reach`` edits do. Blocks are joined by
+    block and n-gram together, so one with a third of all keys spreads over its n-grams.
     """
-    grams = keys.select("key", "block", F.explode(_grams(F.col("place"))).alias("gram"))
+    numbered = cut(keys.select("key", "block", "place").withColumn("n", F.monotonically_increasing_id()))
+    grams = numbered.select("n", "block", F.length("place").alias("size"), F.explode(_grams(F.col("place"))).alias("g")).groupBy("n", "block", "size", "g.gram").agg(F.min("g.at").alias("at"))
     total = keys.agg(F.count(F.lit(1)).alias("total"))
-    weight = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(total), how="cross").select("gram", (F.log(F.col("total") / F.col("df")) + 1).alias("w"))
+    weight = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(total), how="cross").select("gram", F.sqrt(F.log(F.col("total") / F.col("df")) + 1).alias("w"))
     vectors = cut(
-        even_join(grams, weight, "gram")
-        .groupBy("key", "block")
-        .agg(F.sort_array(F.collect_list(F.struct("w", "gram")), asc=False).alias("v"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-        .select("key", "block", F.transform("v", lambda x: F.struct((x["w"] / F.col("norm")).alias("w"), x["gram"].alias("gram"))).alias("v"))
+        even_join(cut(grams), weight, "gram")
+        .groupBy("n", "block", "size")
+        .agg(F.sort_array(F.collect_list(F.struct("w", "gram", "at")), asc=False).alias("v"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+        .select("n", "block", "size", F.transform("v", lambda x: F.struct((x["w"] / F.col("norm")).alias("w"), x["gram"].alias("gram"), x["at"].alias("at"))).alias("v"))
     )
     # What weighs on: the squares from each n-gram to the end.
     tail = lambda i: F.aggregate(F.slice("v", i, F.size("v")), F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"])
     indexed = F.filter(F.sequence(F.lit(1), F.size("v")), lambda i: tail(i) >= least * least)
-    index = cut(vectors.select("key", "block", F.explode(F.transform(indexed, lambda i: F.element_at("v", i)["gram"])).alias("gram")))
-    a, b = index.withColumnRenamed("key", "a"), index.withColumnRenamed("key", "b")
-    met = a.join(b, ["block", "gram"]).where(F.col("a") < F.col("b")).select("a", "b").distinct()
-    va = vectors.select(F.col("key").alias("a"), F.map_from_entries(F.transform("v", lambda x: F.struct(x["gram"], x["w"]))).alias("va"))
-    vb = vectors.select(F.col("key").alias("b"), F.col("v").alias("vb"))
+    index = cut(vectors.select("n", "size", "block", F.explode(F.transform(indexed, lambda i: F.element_at("v", i))).alias("g")).select("n", "size", "block", "g.gram", "g.at"))
+    a = index.select("block", "gram", F.col("n").alias("na"), F.col("size").alias("sa"), F.col("at").alias("pa"))
+    b = index.select("block", "gram", F.col("n").alias("nb"), F.col("size").alias("sb"), F.col("at").alias("pb"))
+    near = F.lit(True) if reach is None else (F.abs(F.col("sa") - F.col("sb")) <= reach) & (F.abs(F.col("pa") - F.col("pb")) <= reach)
+    met = a.join(b, ["block", "gram"]).where((F.col("na") < F.col("nb")) & near).select("na", "nb").distinct()
+    va = vectors.select(F.col("n").alias("na"), F.map_from_entries(F.transform("v", lambda x: F.struct(x["gram"], x["w"]))).alias("va"))
+    vb = vectors.select(F.col("n").alias("nb"), F.col("v").alias("vb"))
     dot = F.aggregate("vb", F.lit(0.0), lambda acc, x: acc + x["w"] * F.coalesce(F.try_element_at("va", x["gram"]), F.lit(0.0)))
-    return met.join(va, "a").join(vb, "b").select("a", "b", dot.alias("cosine")).where(F.col("cosine") >= least)
+    found = met.join(va, "na").join(vb, "nb").select("na", "nb", dot.alias("cosine")).where(F.col("cosine") >= least)
+    name = lambda c, out: numbered.select(F.col("n").alias(c), F.col("key").alias(out))
+    named = found.join(name("na", "x"), "na").join(name("nb", "y"), "nb")
+    return named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "cosine")
 
 
 def average_linkage(pairs: DataFrame, least: float = LINKAGE) -> DataFrame:
@@ -200,7 +207,7 @@ def spelling_groups(read: DataFrame, cosine: float = COSINE, linkage: float = LI
     full = read.where(F.col("full") != "")
     key = F.concat_ws("\u0001", "type", "full", "place")
     keys = cut(full.groupBy(key.alias("key"), "type", "full", "place").agg(F.count_distinct(F.lower("spelling")).alias("ways")))
-    pairs = cosine_pairs(keys.select("key", F.concat_ws("\u0001", "type", "full").alias("block"), "place"), cosine)
+    pairs = cosine_pairs(keys.select("key", F.concat_ws("\u0001", "type", "full").alias("block"), "place"), cosine, reach=1)
     side = lambda c: keys.select(F.col("key").alias(c), F.col("place").alias(f"p{c}"), F.col("ways").alias(f"w{c}"))
     near = (
         pairs.join(side("a"), "a")
