@@ -25,12 +25,13 @@ def property_census(entities: DataFrame, kind: str = "rdf_type") -> DataFrame:
     )
 
 
-def example_names(entities: DataFrame, order: str = "record_id", kind: str = "rdf_type", first: int = 3) -> DataFrame:
-    """(class, rank, name): the first names of each class (A3).
+def example_names(entities: DataFrame, order: str | None = None, kind: str = "rdf_type", first: int = 3) -> DataFrame:
+    """(class, rank, name): the first names of each class in order of ``order``, by default record_id or, without one, id (A3).
 
     Each task keeps its own first rows per class before the classes meet, so that
     a class with most rows is not sorted as a whole.
     """
+    order = order or ("record_id" if "record_id" in entities.columns else "id")
     rows = entities.where(F.col("name") != "").select(F.coalesce(kind, F.lit("unknown")).alias("class"), F.col(order).alias("_o"), "name")
     part = Window.partitionBy("class", F.col("_slice")).orderBy("_o")
     near = rows.withColumn("_slice", F.pmod(F.xxhash64("_o"), F.lit(64))).withColumn("_k", F.row_number().over(part)).where(F.col("_k") <= first)
