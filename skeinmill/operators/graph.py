@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import cached_property, reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skeinmill.functions.text import percent_encoded
+from skeinmill.sparql.compiler import Dataset
 from skeinmill.sparql.parser import RDF_TYPE
 from skeinmill.sparql.terms import SOH, iri_of
 
@@ -59,58 +62,90 @@ def _graphs(base: str) -> Column:
     return F.explode_outer(F.transform(ids, lambda x: F.concat(F.lit("u" + base), percent_encoded(x))))
 
 
-def record_quads(records: DataFrame, namespaces: dict[str, str]) -> DataFrame:
-    """Quads of entities, concepts or scopes: canonical id, type, name and every filled property, one pass over the table."""
+def record_quads(records: DataFrame, namespaces: dict[str, str], only: str | None = None) -> DataFrame | None:
+    """Quads of entities, concepts or scopes: canonical id, type, name and every filled property, one pass over the table.
+
+    With ``only``, an encoded predicate, those of that predicate alone, reading just
+    its column; None if no record can have it.
+    """
     ns = namespaces
-    lit = lambda iri: F.lit("u" + iri)
-    pair = lambda p, o: F.struct(p.alias("p"), o.alias("o"))
-    facts = [
-        pair(lit(ns["pkg"] + "canonical_id"), F.concat(F.lit("s"), F.col("id"))),
-        pair(lit(RDF_TYPE), expanded(F.col("rdf_type"), ns)),
-        pair(lit(ns["schema"] + "name"), _literal(F.col("name"), T.StringType())),
-    ]
+    facts = {
+        ns["pkg"] + "canonical_id": F.concat(F.lit("s"), F.col("id")),
+        RDF_TYPE: expanded(F.col("rdf_type"), ns),
+        ns["schema"] + "name": _literal(F.col("name"), T.StringType()),
+    }
     if "properties" in records.columns:
-        for f in records.schema["properties"].dataType.fields:
-            facts.append(pair(lit(ns["pkg"] + f.name), _literal(F.col("properties")[f.name], f.dataType)))
-    filled = F.filter(F.array(*facts), lambda x: x["o"].isNotNull())
-    return (
-        records.where(F.col("id").isNotNull())
-        .select(_graphs(ns["source"]).alias("g"), resource(F.col("id"), ns["resource"]).alias("s"), filled.alias("facts"))
-        .select("g", "s", F.explode("facts").alias("x"))
-        .select("g", "s", "x.p", "x.o")
-    )
-
-
-def edge_quads(relations: DataFrame, namespaces: dict[str, str]) -> DataFrame:
+        facts |= {ns["pkg"] + f.name: _literal(F.col("properties")[f.name], f.dataType) for f in records.schema["properties"].dataType.fields}
+    own = records.where(F.col("id").isNotNull())
+    g, s = _graphs(ns["source"]).alias("g"), resource(F.col("id"), ns["resource"]).alias("s")
+    if only is not None:
+        if only[1:] not in facts:
+            return None
+        o = facts[only[1:]]
+        return own.where(o.isNotNull()).select(g, s, F.lit(only).alias("p"), o.alias("o"))
+    pairs = F.filter(F.array(*[F.struct(F.lit("u" + p).alias("p"), o.alias("o")) for p, o in facts.items()]), lambda x: x["o"].isNotNull())
+    return own.select(g, s, pairs.alias("facts")).select("g", "s", F.explode("facts").alias("x")).select("g", "s", "x.p", "x.o")
+
+
+def edge_quads(relations: DataFrame, namespaces: dict[str, str], only: str | None = None) -> DataFrame | None:
     """Quads of relations; edges with a null or blank end or predicate are none."""
     ns = namespaces
-    whole = [F.col(c).isNotNull() & (F.trim(F.col(c)) != "") for c in ("subject", "predicate", "object")]
-    return relations.where(whole[0] & whole[1] & whole[2]).select(
+    base = "u" + ns["pkg"]
+    rows = relations
+    for c in ("subject", "predicate", "object"):
+        rows = rows.where(F.col(c).isNotNull() & (F.trim(F.col(c)) != ""))
+    if only is not None:
+        if not only.startswith(base):
+            return None
+        rows = rows.where(F.col("predicate") == only.removeprefix(base))
+    return rows.select(
         _graphs(ns["source"]).alias("g"),
         resource(F.col("subject"), ns["resource"]).alias("s"),
-        F.concat(F.lit("u" + ns["pkg"]), F.col("predicate")).alias("p"),
+        F.concat(F.lit(base), F.col("predicate")).alias("p"),
         resource(F.col("object"), ns["resource"]).alias("o"),
     )
 
 
-def alias_quads(aliases: DataFrame, namespaces: dict[str, str]) -> DataFrame:
+def alias_quads(aliases: DataFrame, namespaces: dict[str, str], only: str | None = None) -> DataFrame | None:
     """Quads of aliases: alternate names of their entities."""
     ns = namespaces
+    p = "u" + ns["schema"] + "alternateName"
+    if only not in (None, p):
+        return None
     return aliases.where((F.col("alias") != "") & (F.col("entity_id") != "")).select(
         _graphs(ns["source"]).alias("g"),
         resource(F.col("entity_id"), ns["resource"]).alias("s"),
-        F.lit("u" + ns["schema"] + "alternateName").alias("p"),
+        F.lit(p).alias("p"),
         F.concat(F.lit("s"), F.col("alias")).alias("o"),
     )
 
 
+class RecordGraph(Dataset):
+    """A dataset read straight from canonical tables: a bound predicate reads only the columns that can hold it."""
+
+    def __init__(self, records: list[DataFrame], relations: DataFrame, aliases: DataFrame, namespaces: dict[str, str] | None = None) -> None:
+        self.tables = (records, relations, aliases)
+        self.ns = {**NAMESPACES, **(namespaces or {})}
+        self.spark = relations.sparkSession
+
+    @cached_property
+    def quads(self) -> DataFrame:
+        return self._union(None)
+
+    def _union(self, only: str | None) -> DataFrame | None:
+        records, relations, aliases = self.tables
+        parts = [edge_quads(relations, self.ns, only), alias_quads(aliases, self.ns, only), *[record_quads(t, self.ns, only) for t in records]]
+        parts = [p for p in parts if p is not None]
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+    def with_predicate(self, p: str) -> DataFrame:
+        rows = self._union(p)
+        return self.spark.createDataFrame([], "g string, s string, p string, o string") if rows is None else rows
+
+
 def quads(records: list[DataFrame], relations: DataFrame, aliases: DataFrame, namespaces: dict[str, str] | None = None) -> DataFrame:
-    """(g, s, p, o) of the whole graph. A filter on p reaches each branch, where constants fold and other branches vanish."""
-    ns = {**NAMESPACES, **(namespaces or {})}
-    out = edge_quads(relations, ns).unionByName(alias_quads(aliases, ns))
-    for t in records:
-        out = out.unionByName(record_quads(t, ns))
-    return out
+    """(g, s, p, o) of the whole graph."""
+    return RecordGraph(records, relations, aliases, namespaces).quads
 
 
 def write_quads(rows: DataFrame, path: str) -> None:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skeinmill.operators.graph import NAMESPACES, quad_counts, quads
+from skeinmill.operators.graph import NAMESPACES, RecordGraph, quad_counts
 from skeinmill.session import table
 from skeinmill.sparql import Dataset, select
 
 
 def graph(spark: SparkSession, d: str) -> Dataset:
-    return Dataset(quads([table(spark, d, t) for t in ("entities", "concepts", "scopes")], table(spark, d, "relations"), table(spark, d, "aliases")))
+    return RecordGraph([table(spark, d, t) for t in ("entities", "concepts", "scopes")], table(spark, d, "relations"), table(spark, d, "aliases"))
 
 
 #: name -> (query, types of variables, SQL).

@@ -18,11 +18,15 @@ from skeinmill.sparql import parser as P
 from skeinmill.sparql.terms import Expressions, Value, decode, encode, integer_of, lexical, number, order_key, string_of, term, truth, whole
 
 
-@dataclass
 class Dataset:
     """Quads (g, s, p, o) of encoded terms; g is null in the default graph, which is the union of all."""
 
-    quads: DataFrame
+    def __init__(self, quads: DataFrame) -> None:
+        self.quads, self.spark = quads, quads.sparkSession
+
+    def with_predicate(self, p: str) -> DataFrame:
+        """The quads of one encoded predicate."""
+        return self.quads.where(F.col("p") == p)
 
     def scoped(self, graphs: list[str], named: list[str]) -> Dataset:
         only = [*graphs, *named]
@@ -44,7 +48,7 @@ def _unit(spark) -> Frame:
 
 class Compiler:
     def __init__(self, dataset: Dataset) -> None:
-        self.data, self.spark = dataset, dataset.quads.sparkSession
+        self.data, self.spark = dataset, dataset.spark
 
     # Joins.
     def _condition(self, a: Frame, b: Frame, shared: list[str]) -> Column:
@@ -166,8 +170,8 @@ class Compiler:
         return a.df.join(right, on, how)
 
     # Patterns.
-    def _rows(self, graph) -> DataFrame:
-        q = self.data.quads
+    def _rows(self, graph, p=None) -> DataFrame:
+        q = self.data.with_predicate(encode(p)) if isinstance(p, P.Iri) else self.data.quads
         if graph is None:
             return q.select("s", "p", "o")
         if isinstance(graph, P.Iri):
@@ -197,7 +201,7 @@ class Compiler:
             pairs = self.path(t.p, graph, None if isinstance(t.s, P.Var) else encode(t.s), None if isinstance(t.o, P.Var) else encode(t.o))
             frame = self._pick_all(pairs, [*g, ("s", t.s), ("o", t.o)])
             return frame
-        return self._pick(self._rows(graph), [*g, ("s", t.s), ("p", t.p), ("o", t.o)])
+        return self._pick(self._rows(graph, t.p), [*g, ("s", t.s), ("p", t.p), ("o", t.o)])
 
     def _pick_all(self, rows: DataFrame, parts) -> Frame:
         first: dict[str, str] = {}
@@ -216,7 +220,7 @@ class Compiler:
         """(s, o), with g where the graph is a variable; ``s`` and ``o`` start closures from a constant end."""
         keys = ["g"] if isinstance(graph, P.Var) else []
         if isinstance(p, P.Iri):
-            return self._rows(graph).where(F.col("p") == encode(p)).select(*keys, "s", "o").distinct()
+            return self._rows(graph, p).select(*keys, "s", "o").distinct()
         if p.op == "!":
             forward = [encode(x) for x in p.parts if isinstance(x, P.Iri)]
             back = [encode(x.parts[0]) for x in p.parts if not isinstance(x, P.Iri)]
@@ -254,7 +258,11 @@ class Compiler:
         return nodes.withColumn("o", F.col("s"))
 
     def _closure(self, step: DataFrame, keys: list[str], s: str | None, o: str | None) -> DataFrame:
-        """All pairs linked by one or more steps; only new pairs are extended in each round, so cycles end."""
+        """All pairs linked by one or more steps; only new pairs are extended in each round, so cycles end.
+
+        Between free ends new pairs are extended by all known ones, which doubles the
+        length reached in each round; from a constant end they are extended by steps.
+        """
         step = cut(step.distinct())
         new = step.where(F.col("s") == s) if s is not None else step.where(F.col("o") == o) if o is not None else step
         known = new = cut(new)
@@ -263,7 +271,8 @@ class Compiler:
             if back:
                 more = step.withColumnRenamed("o", "_m").join(new.select(*keys, F.col("s").alias("_m"), "o"), [*keys, "_m"]).select(*keys, "s", "o")
             else:
-                more = new.withColumnRenamed("o", "_m").join(step.select(*keys, F.col("s").alias("_m"), "o"), [*keys, "_m"]).select(*keys, "s", "o")
+                onward = known if s is None else step
+                more = new.withColumnRenamed("o", "_m").join(onward.select(*keys, F.col("s").alias("_m"), "o"), [*keys, "_m"]).select(*keys, "s", "o")
             new = cut(more.distinct().join(known, [*keys, "s", "o"], "left_anti"))
             known = cut(known.unionByName(new))
         return known
