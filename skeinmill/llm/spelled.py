@@ -9,18 +9,12 @@ from dataclasses import dataclass, field
 #: English short forms of given names, after the full name.
 SHORT_FORMS = """
 aleksandr: sasha alek alex sanya
-anneliese: anne liesel
 anthony: tony
-astrid: assa
-beatriz: bea
 benjamin: ben benny
-bogdan: bodya
-charlotte: lottie charlie
+charlotte: lottie
 dmitri: dima mitya
-dragan: gagi
 edward: ned ted ed eddie
-elizabeth: beth liz betty lizzie eliza
-etienne: titi
+elizabeth: beth liz betty lizzie
 francisco: paco pancho
 frederick: fred freddie freddy
 friedrich: fritz
@@ -28,11 +22,10 @@ gertrude: trudi trudy gertie
 giovanni: gianni
 guadalupe: lupe
 gwendolyn: gwen
-hortense: horty
 jennifer: jen jenny
-johannes: hannes hans
-josefina: pepa fina
-katherine: kathy kate katie kit
+johannes: hannes
+josefina: pepa
+katherine: kathy kate katie
 lawrence: larry
 margaret: maggie meg peggy
 michael: mike mick mickey
@@ -46,8 +39,8 @@ theodore: ted theo teddy
 tomasz: tomek
 ulrich: uli
 vincenzo: enzo
-wilhelmina: mina minna billie
-william: bill will billy willy liam
+wilhelmina: mina
+william: bill will billy willy
 yevgenia: zhenya
 zofia: zosia
 """
@@ -187,8 +180,17 @@ class PersonReader:
         return got or self.given.correct(untransliterated(w)) if "e" in w else got
 
     def _split(self, ts: list[str]) -> tuple[list[str], list[str]]:
-        shouted = all(t.isupper() for t in ts)
+        low = [_word(t) for t in ts]
+        is_given = [w in self.given.known for w in low]
+        # In shouted text two letters are initials unless a given name stands beside them.
+        shouted = all(t.isupper() for t in ts) and any(is_given)
         ini = [_is_initials(t, shouted) for t in ts]
+        # ``AL Smith`` has initials, ``AL SMITH Ann`` a particle.
+        loud = any(t.isupper() and len(_word(t)) > 2 for t in ts)
+        ini = [i or (not loud and bool(re.fullmatch("[A-Z]{2}", t))) for i, t in zip(ini, ts)]
+        is_given = [g and not i for g, i in zip(is_given, ini)]
+        if not any(is_given) and not any(ini):
+            is_given = [w not in PARTICLES and self._given(w) is not None for w in low]
         caps = [t.isupper() and len(_word(t)) > 1 and not i for t, i in zip(ts, ini)]
         if any(caps) and not all(c or i for c, i in zip(caps, ini)):
             k = 0
@@ -203,10 +205,8 @@ class PersonReader:
                 while k > 1 and _word(ts[k - 1]) in PARTICLES:
                     k -= 1
                 return ts[k:], ts[:k]
-        low = [_word(t) for t in ts]
-        is_given = [not i and w in self.given.known for w, i in zip(low, ini)]
-        first_family = low[0] in PARTICLES or (not ini[0] and not is_given[0] and (any(is_given[1:]) or ini[-1]))
-        if first_family and not (not any(is_given) and not ini[-1] and low[0] not in PARTICLES):
+        first_family = (low[0] in PARTICLES and not ini[0]) or (not ini[0] and not is_given[0] and (any(is_given[1:]) or ini[-1]))
+        if first_family and not (not any(is_given) and not ini[-1] and (low[0] not in PARTICLES or ini[0])):
             k = next((j for j in range(1, len(ts)) if is_given[j] or ini[j]), len(ts) - 1 if len(ts) > 1 else 1)
             return ts[:k], ts[k:]
         k = 1
@@ -221,7 +221,7 @@ class PersonReader:
         cut = []
         for p in parts[:2]:
             ts = p.split()
-            while ts and _word(ts[0]) in TITLES and not (re.fullmatch("[A-Z]{2}", ts[0]) and len(ts) == 2):
+            while ts and _word(ts[0]) in TITLES and not (re.fullmatch("[A-Z]{2}", ts[0]) and not p.isupper()):
                 ts = ts[1:]
             while len(ts) > 1 and _word(ts[-1]).replace(".", "") in SUFFIXES:
                 ts = ts[:-1]
@@ -235,10 +235,10 @@ class PersonReader:
         if not family or not given:
             return None
         name = untransliterated(re.sub(r"[^a-z ]", "", " ".join(map(_word, family)).replace("-", " ")))
-        shouted = all(t.isupper() for t in family + given)
+        shouted = all(t.isupper() for t in family + given) and _word(given[0]) in self.given.known
         first, rest = given[0], [re.sub(r"[^a-z]", "", _word(t)) for t in given[1:]]
         middle = rest[0][:1] if rest and rest[0] else ""
-        if _is_initials(first, shouted) and (_word(first) not in self.given.known or re.fullmatch("[A-Z]{2}", first)):
+        if (_is_initials(first, shouted) or re.fullmatch("[A-Z]{2}", first)) and (_word(first) not in self.given.known or re.fullmatch("[A-Z]{2}", first)):
             letters = re.sub(r"[^a-z]", "", first.lower())
             return Reading(name, hint=letters[:1], middle=letters[1:2] or middle) if letters and name else None
         w = self._given(_word(first)) or _word(first)
