@@ -138,8 +138,11 @@ def cosine_pairs(keys: DataFrame, least: float = COSINE, reach: int | None = Non
     count whose lengths, and the places of some such n-gram, differ by at most so
     many characters, as those within ``reach`` edits do. Blocks are joined by
     block and n-gram together, so one with a third of all keys spreads over its n-grams.
+    Where ``keys`` has a column asked, only pairs of an asked key and another count.
     """
-    numbered = cut(keys.select("key", "block", "place").withColumn("n", F.monotonically_increasing_id()))
+    asked = F.col("asked") if "asked" in keys.columns else F.lit(True)
+    sides = "asked" in keys.columns
+    numbered = cut(keys.select("key", "block", "place", asked.alias("asked")).withColumn("n", F.monotonically_increasing_id()))
     grams = numbered.select("n", "block", F.length("place").alias("size"), F.explode(_grams(F.col("place"))).alias("g")).groupBy("n", "block", "size", "g.gram").agg(F.min("g.at").alias("at"))
     total = keys.agg(F.count(F.lit(1)).alias("total"))
     weight = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(total), how="cross").select("gram", F.sqrt(F.log(F.col("total") / F.col("df")) + 1).alias("w"))
@@ -152,11 +155,18 @@ def cosine_pairs(keys: DataFrame, least: float = COSINE, reach: int | None = Non
     # What weighs on: the squares from each n-gram to the end.
     tail = lambda i: F.aggregate(F.slice("v", i, F.size("v")), F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"])
     indexed = F.filter(F.sequence(F.lit(1), F.size("v")), lambda i: tail(i) >= least * least)
-    index = cut(vectors.select("n", "size", "block", F.explode(F.transform(indexed, lambda i: F.element_at("v", i))).alias("g")).select("n", "size", "block", "g.gram", "g.at"))
+    index = vectors.select("n", "size", "block", F.explode(F.transform(indexed, lambda i: F.element_at("v", i))).alias("g")).select("n", "size", "block", "g.gram", "g.at")
+    if sides:
+        index = index.join(numbered.select("n", "asked"), "n")
+    index = cut(index)
     a = index.select("block", "gram", F.col("n").alias("na"), F.col("size").alias("sa"), F.col("at").alias("pa"))
     b = index.select("block", "gram", F.col("n").alias("nb"), F.col("size").alias("sb"), F.col("at").alias("pb"))
     near = F.lit(True) if reach is None else (F.abs(F.col("sa") - F.col("sb")) <= reach) & (F.abs(F.col("pa") - F.col("pb")) <= reach)
-    met = a.join(b, ["block", "gram"]).where((F.col("na") < F.col("nb")) & near).select("na", "nb").distinct()
+    if sides:
+        one, other = index.where("asked"), index.where(~F.col("asked"))
+        a = one.select("block", "gram", F.col("n").alias("na"), F.col("size").alias("sa"), F.col("at").alias("pa"))
+        b = other.select("block", "gram", F.col("n").alias("nb"), F.col("size").alias("sb"), F.col("at").alias("pb"))
+    met = a.join(b, ["block", "gram"]).where((F.lit(sides) | (F.col("na") < F.col("nb"))) & near).select("na", "nb").distinct()
     va = vectors.select(F.col("n").alias("na"), F.map_from_entries(F.transform("v", lambda x: F.struct(x["gram"], x["w"]))).alias("va"))
     vb = vectors.select(F.col("n").alias("nb"), F.col("v").alias("vb"))
     dot = F.aggregate("vb", F.lit(0.0), lambda acc, x: acc + x["w"] * F.coalesce(F.try_element_at("va", x["gram"]), F.lit(0.0)))
@@ -238,9 +248,10 @@ def name_groups(entities: DataFrame, aliases: DataFrame, **thresholds: float) ->
 
     Ids with a spelling in one group belong together. An id known only by an
     initial, unclear short form or abbreviation joins the one group of its family
-    name or place that fits, its middle initial where both have one; where none
-    fits, ids with the same hint join each other, and where several fit it stays
-    alone unless another of its spellings, such as name_as_cited, tells. Ids of
+    name or place that fits (a place that fits none may be one edit from one that
+    does), its middle initial where both have one; where none fits, ids with the
+    same hint join each other, and where several fit it stays alone unless
+    another of its spellings, such as name_as_cited, tells. Ids of
     different types never meet. Empty tables give no rows; rows delivered again
     and extra columns change nothing.
     """
@@ -262,27 +273,46 @@ def name_groups(entities: DataFrame, aliases: DataFrame, **thresholds: float) ->
     bare = fits.where((F.col("middle") == "") & (F.col("n") == 1)).select(*at, F.col("group_id").alias("g_bare"))
     any_ = of_group.groupBy(*at).agg(F.count(F.lit(1)).alias("n_any"), F.min("group_id").alias("g_any"))
     hint = F.when(F.col("type") == "Person", F.col("hint")).otherwise(_sorted_letters(F.col("hint")))
-    vague = (
+    vague = cut(
         read.where(F.col("full") == "")
         .select("entity_id", "type", "place", hint.alias("hint"), "middle")
         .distinct()
         .join(settled.select("entity_id"), "entity_id", "left_anti")
     )
-    chosen = (
+    mended = _mended(vague, any_, at, thresholds.get("cosine", COSINE))
+    vague = vague.join(mended, at, "left").select("entity_id", "type", F.coalesce("mended", "place").alias("place"), "hint", "middle").distinct()
+    chosen = cut(
         vague.join(any_, at, "left").join(exact, [*at, "middle"], "left").join(taken, [*at, "middle"], "left").join(bare, at, "left")
         .withColumn(
             "group_id",
-            F.when(F.col("n_any").isNull(), F.concat_ws("\u0001", F.lit("h"), *at))
-            .when(F.col("g_exact").isNotNull(), F.col("g_exact"))
+            F.when(F.col("g_exact").isNotNull(), F.col("g_exact"))
             .when((F.col("middle") == "") & (F.col("n_any") == 1), F.col("g_any"))
             .when((F.col("middle") != "") & F.col("is_taken").isNull(), F.col("g_bare")),
         )
     )
-    # An id whose hints lead to different groups, or nowhere, stays alone.
-    placed = chosen.groupBy("entity_id", "type").agg(F.min("group_id").alias("low"), F.max("group_id").alias("high"))
-    alone = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.concat(F.lit("i"), "entity_id"))
-    rest = placed.select("entity_id", "type", F.coalesce(alone, F.concat(F.lit("i"), "entity_id")).alias("group_id"))
-    return settled.unionByName(rest)
+    # An id whose hints lead to different groups, or to several bearers, stays alone.
+    alone = F.concat(F.lit("i"), "entity_id")
+    placed = chosen.where(F.col("n_any").isNotNull()).groupBy("entity_id", "type").agg(F.min("group_id").alias("low"), F.max("group_id").alias("high"))
+    placed = placed.select("entity_id", "type", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(alone).alias("group_id"))
+    # Ids whose hints fit nobody meet each other under the hint that most of them share.
+    lost = chosen.where(F.col("n_any").isNull()).join(placed.select("entity_id"), "entity_id", "left_anti")
+    lost = lost.select("entity_id", "type", F.concat_ws("\u0001", F.lit("h"), *at).alias("group_id")).distinct()
+    sizes = lost.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.struct((-F.col("n")).alias("minus"), "group_id")
+    rest = even_join(lost, sizes, "group_id").groupBy("entity_id", "type").agg(F.min(rank).alias("r")).select("entity_id", "type", F.col("r.group_id").alias("group_id"))
+    return settled.unionByName(placed).unionByName(rest)
+
+
+def _mended(vague: DataFrame, known: DataFrame, at: list[str], cosine: float) -> DataFrame:
+    """(type, place, hint, mended): places of hints that fit no bearer, with the places one edit away that have one."""
+    spot = lambda df, asked: df.select(F.concat_ws("\u0001", *at).alias("key"), F.concat_ws("\u0001", "type", "hint").alias("block"), "type", "place", "hint", F.lit(asked).alias("asked"))
+    lost = spot(vague.select(*at).distinct().join(known.select(*at), at, "left_anti"), True)
+    keys = cut(lost.unionByName(spot(known, False).join(lost.select("block").distinct(), "block", "left_semi")))
+    pairs = cosine_pairs(keys.select("key", "block", "place", "asked"), cosine, reach=1)
+    both = pairs.select(F.col("a").alias("key"), F.col("b").alias("other")).union(pairs.select("b", "a"))
+    target = keys.where(~F.col("asked")).select(F.col("key").alias("other"), F.col("place").alias("mended"))
+    near = keys.where("asked").join(both, "key").join(target, "other")
+    return near.where(F.least(F.length("place"), F.length("mended")) > 4).where(_one_edit("place", "mended")).select(*at, "mended")
 
 
 def _sorted_letters(col):

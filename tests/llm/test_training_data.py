@@ -335,6 +335,7 @@ def names_tables(spark):
         e("i1", "Pokez Observatory", kind="Institution"), e("i2", "Obs. of Pokez", kind="Institution"), e("i3", "University of Pokez", kind="Institution"), e("i4", "Institute for Dark Matter, Pokez", kind="Institution"),
         e("i5", "IDM, Pokez", kind="Institution"), e("i6", "Centre for Dark Matter, Pokez", kind="Institution"), e("i7", "Pokez Observatry", kind="Institution"), e("t1", "Ann Solo", kind="Talk"),
     ]
+    rows += [e("v1", "Ann Verylongname"), e("v2", "A. Verylngname"), e("v3", "A. Verylongname", "A. Veryloongname"), e("w1", "Q. Elsewhere"), e("w2", "Q. Elsewhere", "Q. Elsewere")]
     rows += [e(f"f{k}{g}", f"Family{chr(97 + k)}xyz, {g}") for k in range(9) for g in ("Edward", "Ann", "Elizabeth")]
     a = spark.createDataFrame([("q1", "Ann Solo"), ("p5", None), ("zz", "Ann Solo"), (None, "Ann Solo"), ("i4", "Institute of Dark Matter (Pokez)"), ("i4", "IDM Pokez"), ("i6", "Centre for Dark Matter, Pokez")], "entity_id string, alias string")
     return clashing(spark.createDataFrame(rows, "id string, type string, name string, name_as_cited string")), a
@@ -343,7 +344,7 @@ def names_tables(spark):
 def test_same_names(spark):
     entities, aliases = names_tables(spark)
     got = {tuple(r) for r in N.same_name_pairs(entities, aliases).collect() if not r[0].startswith("f")}
-    groups = [("p1", "p2", "p3", "p6"), ("q1", "q2", "q3"), ("r1", "r2"), ("i1", "i2", "i7"), ("i4", "i5")]
+    groups = [("p1", "p2", "p3", "p6"), ("q1", "q2", "q3"), ("r1", "r2"), ("i1", "i2", "i7"), ("i4", "i5"), ("v1", "v2", "v3"), ("w1", "w2")]
     assert got == {(a, b) for g in groups for a in g for b in g if a < b}
 
 
