@@ -28,7 +28,7 @@ def rows_of(names, rows):
 def compare(spark, d, f, sql):
     con = duckdb.connect()
     for p in Path(d).glob("*.parquet"):
-        con.sql(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}{'/*' if p.is_dir() else ''}'")
+        con.sql(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}{'/*.parquet' if p.is_dir() else ''}'")
     want = con.execute(sql)
     want = rows_of([c[0] for c in want.description], want.fetchall())
     df = f(spark, d)
