@@ -8,8 +8,9 @@
    the rarest n-grams of each vector, up to the weight that a pair at the
    threshold must share, are indexed. There is no top-n cap, so no partner is
    lost; an exact check on single edits follows.
-3. Spellings are grouped by average linkage, computed by rounds of reciprocal
-   nearest neighbours, which give the same groups as merging one by one.
+3. Every form follows the commonest form one edit away up to one that has none
+   commoner, however many errors a name has gathered. Average linkage, by rounds of
+   reciprocal nearest neighbours, is there for pairs of other similarities.
 4. Records with a spelling in a group belong together; those known only by an
    initial or abbreviation follow the one bearer that fits.
 """
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 from skeinmill.functions.cells import is_filler, strip_blanks
 from skeinmill.llm import spelled
 from skeinmill.llm.components import components
+from skeinmill.operators.hierarchy import tops
 from skeinmill.operators.skew import even_join
 from skeinmill.session import cut
 
@@ -33,7 +35,7 @@ from skeinmill.session import cut
 VOCABULARY = 20_000
 #: Cosine from which two spellings of a place are compared letter by letter.
 COSINE = 0.45
-#: Average similarity at which groups of spellings still merge.
+#: Average similarity at which groups still merge under average linkage.
 LINKAGE = 0.2
 _READ = "entity_id string, type string, spelling string, place string, full string, hint string, middle string"
 
@@ -207,7 +209,25 @@ def _one_edit(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([spelled.one_edit(x, y) for x, y in zip(a, b)])
 
 
-def spelling_groups(read: DataFrame, cosine: float = COSINE, linkage: float = LINKAGE) -> DataFrame:
+def main_forms(pairs: DataFrame) -> DataFrame:
+    """(node, cluster) of every form of ``pairs`` (a, b, ia, ib, sim): the main form it leads to.
+
+    ia and ib say how many ids bear a form. Each form points at the commonest of
+    its neighbours that are commoner than itself; where counts are equal, one with
+    more neighbours is, then the lesser. The way up ends at the main form, so a name takes in any
+    number of errors, and two main forms never meet by way of an error between them.
+    """
+    ends = pairs.select(F.explode(F.array(F.struct("a", "b", "ia", "ib", "sim"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("ib").alias("ia"), F.col("ia").alias("ib"), "sim"))).alias("x")).select("x.*")
+    ends = cut(ends)
+    degree = ends.groupBy("a").agg(F.count(F.lit(1)).alias("da"))
+    both = ends.join(degree, "a").join(degree.select(F.col("a").alias("b"), F.col("da").alias("db")), "b")
+    up = both.where((F.col("ib") > F.col("ia")) | ((F.col("ib") == F.col("ia")) & ((F.col("db") > F.col("da")) | ((F.col("db") == F.col("da")) & (F.col("b") < F.col("a"))))))
+    parent = cut(up.groupBy(F.col("a").alias("node")).agg(F.max(F.struct("ib", "db", "sim", "b")).alias("r")).select("node", F.col("r.b").alias("parent")))
+    found = cut(tops(parent).select("node", F.col("top").alias("cluster")))
+    return found.unionByName(found.select(F.col("cluster").alias("node"), "cluster").distinct())
+
+
+def spelling_groups(read: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(key, type, full, place, cluster): spellings that say in full what stands at a place, grouped.
 
     Two places are one if a single edit turns one into the other, both have more
@@ -216,17 +236,17 @@ def spelling_groups(read: DataFrame, cosine: float = COSINE, linkage: float = LI
     """
     full = read.where(F.col("full") != "")
     key = F.concat_ws("\u0001", "type", "full", "place")
-    keys = cut(full.groupBy(key.alias("key"), "type", "full", "place").agg(F.count_distinct(F.lower("spelling")).alias("ways")))
+    keys = cut(full.groupBy(key.alias("key"), "type", "full", "place").agg(F.count_distinct(F.lower("spelling")).alias("ways"), F.count_distinct("entity_id").alias("ids")))
     pairs = cosine_pairs(keys.select("key", F.concat_ws("\u0001", "type", "full").alias("block"), "place"), cosine, reach=1)
-    side = lambda c: keys.select(F.col("key").alias(c), F.col("place").alias(f"p{c}"), F.col("ways").alias(f"w{c}"))
+    side = lambda c: keys.select(F.col("key").alias(c), F.col("place").alias(f"p{c}"), F.col("ways").alias(f"w{c}"), F.col("ids").alias(f"i{c}"))
     near = (
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
         .where((F.least("wa", "wb") == 1) & (F.least(F.length("pa"), F.length("pb")) > 4))
         .where(_one_edit("pa", "pb"))
-        .select("a", "b", F.col("cosine").alias("sim"))
+        .select("a", "b", "ia", "ib", F.col("cosine").alias("sim"))
     )
-    clusters = average_linkage(near, linkage)
+    clusters = main_forms(near)
     return cut(keys.join(clusters.withColumnRenamed("node", "key"), "key", "left").select("key", "type", "full", "place", F.coalesce("cluster", "key").alias("cluster")))
 
 

@@ -381,3 +381,28 @@ def test_average_linkage_against_one_by_one_merging(spark):
     for r in N.average_linkage(spark.createDataFrame(pairs, "a string, b string, sim double"), 0.3).collect():
         got[r["cluster"]].add(r["node"])
     assert {frozenset(g) for g in got.values()} == average(pairs, 0.3)
+
+
+def typed(spark, rows):
+    entities = spark.createDataFrame([(i, "Person", name, None) for i, name in rows], "id string, type string, name string, name_as_cited string")
+    return entities, spark.createDataFrame([], "entity_id string, alias string")
+
+
+def together(spark, rows):
+    groups = defaultdict(set)
+    for r in N.name_groups(*typed(spark, rows)).collect():
+        groups[r["group_id"]].add(r["entity_id"])
+    return {frozenset(g) for g in groups.values()}
+
+
+def test_a_name_takes_in_any_number_of_errors(spark):
+    name = "towomelopraske"
+    wrong = [name[:i] + "q" + name[i + 1 :] for i in range(len(name))] + [name[:i] + "x" + name[i:] for i in range(6)]
+    for n_right in (1, 9):
+        rows = [(f"r{k}", f"{name.title()}, Edward") for k in range(n_right)] + [(f"e{k}", f"{w.title()}, Edward") for k, w in enumerate(wrong)]
+        assert together(spark, rows) == {frozenset(i for i, _ in rows)}
+
+
+def test_an_error_between_two_names_joins_only_one(spark):
+    rows = [("a1", "Hansenok, Edward"), ("a2", "Edward Hansenok"), ("b1", "Hanzanok, Edward"), ("b2", "Edward Hanzanok"), ("x1", "Hanzenok, Edward"), ("a4", "HANSENOK, Edward")]
+    assert {frozenset(("a1", "a2", "a4", "x1")), frozenset(("b1", "b2"))} <= together(spark, rows)
