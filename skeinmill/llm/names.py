@@ -3,11 +3,11 @@
 1. Every spelling is read into a place (family name, or town of an institution)
    and what stands there (given name, or kind and subject), in one form.
    Given names, short forms and subjects are learned from the corpus.
-2. Places are weighted character 3-gram vectors. A distributed sparse join finds
-   all pairs of the same kind and given name at or above a cosine threshold: only
-   the rarest n-grams of each vector, up to the weight that a pair at the
-   threshold must share, are indexed. There is no top-n cap, so no partner is
-   lost; an exact check on single edits follows.
+2. Two places one edit apart are the same once one character at most is left out
+   of each. All pairs of the same kind and given name meet under hashes of what is
+   left, and an exact check on single edits follows, so no partner is lost, however
+   short the places or large the corpus. Places are also weighted character 3-gram
+   vectors, whose cosine ranks the pairs.
 3. Every form follows the commonest form one edit away up to one that has none
    commoner, however many errors a name has gathered. Average linkage, by rounds of
    reciprocal nearest neighbours, is there for pairs of other similarities.
@@ -33,7 +33,7 @@ from skeinmill.session import cut
 
 #: A word has to make up at least one in so many to be learned: at most so many are.
 VOCABULARY = 20_000
-#: Cosine from which two spellings of a place are compared letter by letter.
+#: Cosine from which cosine_pairs gives a pair. Names are not cut by it: all pairs one edit apart meet.
 COSINE = 0.45
 #: Average similarity at which groups still merge under average linkage.
 LINKAGE = 0.2
@@ -131,6 +131,30 @@ def _grams(place):
     return F.transform(F.sequence(F.lit(1), F.length(s) - 2), lambda i: F.struct(F.substring(s, i, F.lit(3)).alias("gram"), i.alias("at")))
 
 
+def _vectors(numbered: DataFrame) -> DataFrame:
+    """(n, block, size, v) of ``numbered`` (n, block, place): the weighted 3-grams of each place, of length 1 together."""
+    grams = numbered.select("n", "block", F.length("place").alias("size"), F.explode(_grams(F.col("place"))).alias("g")).groupBy("n", "block", "size", "g.gram").agg(F.min("g.at").alias("at"))
+    total = numbered.agg(F.count(F.lit(1)).alias("total"))
+    weight = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(total), how="cross").select("gram", F.sqrt(F.log(F.col("total") / F.col("df")) + 1).alias("w"))
+    return cut(
+        even_join(cut(grams), weight, "gram")
+        .groupBy("n", "block", "size")
+        .agg(F.sort_array(F.collect_list(F.struct("w", "gram", "at")), asc=False).alias("v"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+        .select("n", "block", "size", F.transform("v", lambda x: F.struct((x["w"] / F.col("norm")).alias("w"), x["gram"].alias("gram"), x["at"].alias("at"))).alias("v"))
+    )
+
+
+def _cosines(met: DataFrame, vectors: DataFrame, numbered: DataFrame) -> DataFrame:
+    """(a, b, cosine) of the pairs (na, nb) of ``met`` by their keys, a < b."""
+    va = vectors.select(F.col("n").alias("na"), F.map_from_entries(F.transform("v", lambda x: F.struct(x["gram"], x["w"]))).alias("va"))
+    vb = vectors.select(F.col("n").alias("nb"), F.col("v").alias("vb"))
+    dot = F.aggregate("vb", F.lit(0.0), lambda acc, x: acc + x["w"] * F.coalesce(F.try_element_at("va", x["gram"]), F.lit(0.0)))
+    found = met.join(va, "na").join(vb, "nb").select("na", "nb", dot.alias("cosine"))
+    name = lambda c, out: numbered.select(F.col("n").alias(c), F.col("key").alias(out))
+    named = found.join(name("na", "x"), "na").join(name("nb", "y"), "nb")
+    return named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "cosine")
+
+
 def cosine_pairs(keys: DataFrame, least: float = COSINE, reach: int | None = None) -> DataFrame:
     """(a, b, cosine) of all keys (key, block, place) of one block with a cosine of at least ``least``, a < b.
 
@@ -145,15 +169,7 @@ def cosine_pairs(keys: DataFrame, least: float = COSINE, reach: int | None = Non
     asked = F.col("asked") if "asked" in keys.columns else F.lit(True)
     sides = "asked" in keys.columns
     numbered = cut(keys.select("key", "block", "place", asked.alias("asked")).withColumn("n", F.monotonically_increasing_id()))
-    grams = numbered.select("n", "block", F.length("place").alias("size"), F.explode(_grams(F.col("place"))).alias("g")).groupBy("n", "block", "size", "g.gram").agg(F.min("g.at").alias("at"))
-    total = keys.agg(F.count(F.lit(1)).alias("total"))
-    weight = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(total), how="cross").select("gram", F.sqrt(F.log(F.col("total") / F.col("df")) + 1).alias("w"))
-    vectors = cut(
-        even_join(cut(grams), weight, "gram")
-        .groupBy("n", "block", "size")
-        .agg(F.sort_array(F.collect_list(F.struct("w", "gram", "at")), asc=False).alias("v"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-        .select("n", "block", "size", F.transform("v", lambda x: F.struct((x["w"] / F.col("norm")).alias("w"), x["gram"].alias("gram"), x["at"].alias("at"))).alias("v"))
-    )
+    vectors = _vectors(numbered)
     # What weighs on: the squares from each n-gram to the end.
     tail = lambda i: F.aggregate(F.slice("v", i, F.size("v")), F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"])
     indexed = F.filter(F.sequence(F.lit(1), F.size("v")), lambda i: tail(i) >= least * least)
@@ -169,13 +185,34 @@ def cosine_pairs(keys: DataFrame, least: float = COSINE, reach: int | None = Non
         a = one.select("block", "gram", F.col("n").alias("na"), F.col("size").alias("sa"), F.col("at").alias("pa"))
         b = other.select("block", "gram", F.col("n").alias("nb"), F.col("size").alias("sb"), F.col("at").alias("pb"))
     met = a.join(b, ["block", "gram"]).where((F.lit(sides) | (F.col("na") < F.col("nb"))) & near).select("na", "nb").distinct()
-    va = vectors.select(F.col("n").alias("na"), F.map_from_entries(F.transform("v", lambda x: F.struct(x["gram"], x["w"]))).alias("va"))
-    vb = vectors.select(F.col("n").alias("nb"), F.col("v").alias("vb"))
-    dot = F.aggregate("vb", F.lit(0.0), lambda acc, x: acc + x["w"] * F.coalesce(F.try_element_at("va", x["gram"]), F.lit(0.0)))
-    found = met.join(va, "na").join(vb, "nb").select("na", "nb", dot.alias("cosine")).where(F.col("cosine") >= least)
-    name = lambda c, out: numbered.select(F.col("n").alias(c), F.col("key").alias(out))
-    named = found.join(name("na", "x"), "na").join(name("nb", "y"), "nb")
-    return named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "cosine")
+    return _cosines(met, vectors, numbered).where(F.col("cosine") >= least)
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _left_out(words: pd.Series) -> pd.Series:
+    return words.map(spelled.left_out)
+
+
+@F.pandas_udf(T.BooleanType())
+def _one_edit(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([spelled.one_edit(x, y) for x, y in zip(a, b)])
+
+
+def edit_met(a: DataFrame, b: DataFrame, ka: str, kb: str, at: list[str]) -> DataFrame:
+    """(ka, kb): all rows of ``a`` (ka, wa, at) and ``b`` (kb, wb, at) of one ``at`` whose words wa and wb are one edit apart or equal."""
+    one = a.select(ka, "wa", *at, F.explode(_left_out("wa")).alias("print"))
+    other = b.select(kb, "wb", *at, F.explode(_left_out("wb")).alias("print"))
+    met = one.join(other, [*at, "print"]).where((F.col(ka) != F.col(kb)) & (F.abs(F.length("wa") - F.length("wb")) <= 1))
+    return met.select(ka, kb, "wa", "wb").distinct().where(_one_edit("wa", "wb")).select(ka, kb)
+
+
+def edit_pairs(keys: DataFrame) -> DataFrame:
+    """(a, b, cosine) of all keys (key, block, place) of one block whose places are one edit apart, a < b."""
+    numbered = cut(keys.select("key", "block", "place").withColumn("n", F.monotonically_increasing_id()))
+    side = lambda n, w: numbered.select(F.col("n").alias(n), F.col("place").alias(w), "block")
+    met = cut(edit_met(side("na", "wa"), side("nb", "wb"), "na", "nb", ["block"]).where(F.col("na") < F.col("nb")))
+    ends = met.select(F.explode(F.array("na", "nb")).alias("n")).distinct()
+    return _cosines(met, _vectors(numbered).join(ends, "n", "left_semi"), numbered)
 
 
 def average_linkage(pairs: DataFrame, least: float = LINKAGE) -> DataFrame:
@@ -204,11 +241,6 @@ def average_linkage(pairs: DataFrame, least: float = LINKAGE) -> DataFrame:
         links = cut(moved.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("total").alias("total")))
 
 
-@F.pandas_udf(T.BooleanType())
-def _one_edit(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([spelled.one_edit(x, y) for x, y in zip(a, b)])
-
-
 def main_forms(pairs: DataFrame) -> DataFrame:
     """(node, cluster) of every form of ``pairs`` (a, b, ia, ib, sim): the main form it leads to.
 
@@ -227,7 +259,7 @@ def main_forms(pairs: DataFrame) -> DataFrame:
     return found.unionByName(found.select(F.col("cluster").alias("node"), "cluster").distinct())
 
 
-def spelling_groups(read: DataFrame, cosine: float = COSINE) -> DataFrame:
+def spelling_groups(read: DataFrame) -> DataFrame:
     """(key, type, full, place, cluster): spellings that say in full what stands at a place, grouped.
 
     Two places are one if a single edit turns one into the other, both have more
@@ -237,13 +269,12 @@ def spelling_groups(read: DataFrame, cosine: float = COSINE) -> DataFrame:
     full = read.where(F.col("full") != "")
     key = F.concat_ws("\u0001", "type", "full", "place")
     keys = cut(full.groupBy(key.alias("key"), "type", "full", "place").agg(F.count_distinct(F.lower("spelling")).alias("ways"), F.count_distinct("entity_id").alias("ids")))
-    pairs = cosine_pairs(keys.select("key", F.concat_ws("\u0001", "type", "full").alias("block"), "place"), cosine, reach=1)
-    side = lambda c: keys.select(F.col("key").alias(c), F.col("place").alias(f"p{c}"), F.col("ways").alias(f"w{c}"), F.col("ids").alias(f"i{c}"))
+    pairs = edit_pairs(keys.where(F.length("place") > 4).select("key", F.concat_ws("\u0001", "type", "full").alias("block"), "place"))
+    side = lambda c: keys.select(F.col("key").alias(c), F.col("ways").alias(f"w{c}"), F.col("ids").alias(f"i{c}"))
     near = (
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
-        .where((F.least("wa", "wb") == 1) & (F.least(F.length("pa"), F.length("pb")) > 4))
-        .where(_one_edit("pa", "pb"))
+        .where(F.least("wa", "wb") == 1)
         .select("a", "b", "ia", "ib", F.col("cosine").alias("sim"))
     )
     clusters = main_forms(near)
@@ -263,7 +294,7 @@ def _hinted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["type", "place", "hint", "middle", "group_id"])
 
 
-def name_groups(entities: DataFrame, aliases: DataFrame, **thresholds: float) -> DataFrame:
+def name_groups(entities: DataFrame, aliases: DataFrame) -> DataFrame:
     """(entity_id, type, group_id): every id of a person or institution with a readable spelling.
 
     Ids with a spelling in one group belong together. An id known only by an
@@ -276,7 +307,7 @@ def name_groups(entities: DataFrame, aliases: DataFrame, **thresholds: float) ->
     and extra columns change nothing.
     """
     read = readings(cut(spellings(entities, aliases)))
-    groups = spelling_groups(read, **thresholds)
+    groups = spelling_groups(read)
     full = read.where(F.col("full") != "").select("entity_id", F.concat_ws("\u0001", "type", "full", "place").alias("key"), "type", "full", "place", "middle")
     tied = cut(full.join(groups.select("key", "cluster"), "key"))
     links = tied.select(F.concat(F.lit("k"), "cluster").alias("a"), F.concat(F.lit("i"), "entity_id").alias("b")).distinct()
@@ -299,7 +330,7 @@ def name_groups(entities: DataFrame, aliases: DataFrame, **thresholds: float) ->
         .distinct()
         .join(settled.select("entity_id"), "entity_id", "left_anti")
     )
-    mended = _mended(vague, any_, at, thresholds.get("cosine", COSINE))
+    mended = _mended(vague, any_, at)
     vague = vague.join(mended, at, "left").select("entity_id", "type", F.coalesce("mended", "place").alias("place"), "hint", "middle").distinct()
     chosen = cut(
         vague.join(any_, at, "left").join(exact, [*at, "middle"], "left").join(taken, [*at, "middle"], "left").join(bare, at, "left")
@@ -323,24 +354,23 @@ def name_groups(entities: DataFrame, aliases: DataFrame, **thresholds: float) ->
     return settled.unionByName(placed).unionByName(rest)
 
 
-def _mended(vague: DataFrame, known: DataFrame, at: list[str], cosine: float) -> DataFrame:
+def _mended(vague: DataFrame, known: DataFrame, at: list[str]) -> DataFrame:
     """(type, place, hint, mended): places of hints that fit no bearer, with the places one edit away that have one."""
-    spot = lambda df, asked: df.select(F.concat_ws("\u0001", *at).alias("key"), F.concat_ws("\u0001", "type", "hint").alias("block"), "type", "place", "hint", F.lit(asked).alias("asked"))
-    lost = spot(vague.select(*at).distinct().join(known.select(*at), at, "left_anti"), True)
-    keys = cut(lost.unionByName(spot(known, False).join(lost.select("block").distinct(), "block", "left_semi")))
-    pairs = cosine_pairs(keys.select("key", "block", "place", "asked"), cosine, reach=1)
-    both = pairs.select(F.col("a").alias("key"), F.col("b").alias("other")).union(pairs.select("b", "a"))
-    target = keys.where(~F.col("asked")).select(F.col("key").alias("other"), F.col("place").alias("mended"))
-    near = keys.where("asked").join(both, "key").join(target, "other")
-    return near.where(F.least(F.length("place"), F.length("mended")) > 4).where(_one_edit("place", "mended")).select(*at, "mended")
+    long = F.length("place") > 4
+    spot = lambda df, key, word: df.where(long).select(F.concat_ws("\u0001", *at).alias(key), F.col("place").alias(word), "type", "hint")
+    lost = cut(vague.select(*at).distinct().join(known.select(*at), at, "left_anti"))
+    there = known.select(*at).join(lost.select("type", "hint").distinct(), ["type", "hint"], "left_semi")
+    met = edit_met(spot(lost, "ka", "wa"), spot(there, "kb", "wb"), "ka", "kb", ["type", "hint"])
+    named = met.join(lost.select(F.concat_ws("\u0001", *at).alias("ka"), *at), "ka")
+    return named.select(*at, F.split("kb", "\u0001")[1].alias("mended"))
 
 
 def _sorted_letters(col):
     return F.array_join(F.array_sort(F.split(col, "")), "")
 
 
-def same_name_pairs(entities: DataFrame, aliases: DataFrame, **thresholds: float) -> DataFrame:
+def same_name_pairs(entities: DataFrame, aliases: DataFrame) -> DataFrame:
     """(id_a, id_b): ids of one type that name the same person or organisation, id_a < id_b."""
-    groups = cut(name_groups(entities, aliases, **thresholds).select("type", "group_id", "entity_id").distinct())
+    groups = cut(name_groups(entities, aliases).select("type", "group_id", "entity_id").distinct())
     a, b = groups.withColumnRenamed("entity_id", "id_a"), groups.withColumnRenamed("entity_id", "id_b")
     return a.join(b, ["type", "group_id"]).where(F.col("id_a") < F.col("id_b")).select("id_a", "id_b")

@@ -61,6 +61,9 @@ LINK_WORDS = {"for", "of", "the", "and", "in", "at", "&"}
 #: Letters that do not decompose.
 PLAIN = str.maketrans({"ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ð": "d", "þ": "th", "ı": "i", "’": "'", "‘": "'", "‐": "-", "‑": "-", "–": "-"})
 
+#: Of the rolling hashes; they only bring words together that are then compared.
+_BASE, _PRIME = 0x1F3D5B79A2C4E, (1 << 61) - 1
+
 FULL_FORMS = {short: {line.split(":")[0] for line in SHORT_FORMS.split("\n") if short in line.partition(":")[2].split()} for short in " ".join(x.partition(":")[2] for x in SHORT_FORMS.split("\n")).split()}
 KIND_OF = {form: kind for kind, forms in KINDS.items() for form in forms.split()}
 
@@ -96,6 +99,29 @@ def _deletions(word: str) -> set[str]:
     return {word} | {word[:i] + word[i + 1 :] for i in range(len(word))}
 
 
+def starts(word: str) -> list[int]:
+    """A hash of each of the word's beginnings, shortest first, the whole word last."""
+    h, out = 0, []
+    for c in word:
+        h = (h * _BASE + ord(c) + 1) % _PRIME
+        out.append(h)
+    return out
+
+
+def left_out(word: str) -> list[int]:
+    """Hashes of the word and of all that is left of it without one character; words one edit apart share one.
+
+    They are rolled, so that a long word costs no more than its length.
+    """
+    before = [0, *starts(word)]
+    out, after, power = {before[-1]}, 0, 1
+    for i in range(len(word) - 1, -1, -1):
+        out.add((before[i] * power + after) % _PRIME)
+        after = ((ord(word[i]) + 1) * power + after) % _PRIME
+        power = power * _BASE % _PRIME
+    return list(out)
+
+
 @dataclass
 class Words:
     """Words with counts, and for each misspelt one the word it stands for.

@@ -406,3 +406,12 @@ def test_a_name_takes_in_any_number_of_errors(spark):
 def test_an_error_between_two_names_joins_only_one(spark):
     rows = [("a1", "Hansenok, Edward"), ("a2", "Edward Hansenok"), ("b1", "Hanzanok, Edward"), ("b2", "Edward Hanzanok"), ("x1", "Hanzenok, Edward"), ("a4", "HANSENOK, Edward")]
     assert {frozenset(("a1", "a2", "a4", "x1")), frozenset(("b1", "b2"))} <= together(spark, rows)
+
+
+def test_all_pairs_one_edit_apart_meet(spark):
+    rows = [("a1", "Brown, Edward"), ("a2", "Edward Brown"), ("a3", "Borwn, Edward"), ("b1", "E. Smitha"), ("c1", "Smithaz, Edward"), ("d1", "Smith, Ann"), ("d2", "Ann Smith"), ("d3", "A. Smtih")]
+    rows += [(f"z{k}", f"{x}{y}uvkel, Edward") for k, (x, y) in enumerate((x, y) for x in "BCDFGKLMNP" for y in "aeiou")]
+    got = together(spark, rows)
+    assert {frozenset(("a1", "a2", "a3")), frozenset(("d1", "d2", "d3"))} <= got
+    words = [""] + [a + b + c for a in "abc" for b in "abc" for c in ["", *"abc"]]
+    assert all(not S.one_edit(a, b) or set(S.left_out(a)) & set(S.left_out(b)) for a in words for b in words)
