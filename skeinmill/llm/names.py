@@ -35,6 +35,8 @@ from skeinmill.session import cut
 VOCABULARY = 20_000
 #: Cosine from which cosine_pairs gives a pair. Names are not cut by it: all pairs one edit apart meet.
 COSINE = 0.45
+#: A form is an error of one that so many times as many ids bear.
+ODDS = 5
 #: Average similarity at which groups still merge under average linkage.
 LINKAGE = 0.2
 _READ = "entity_id string, type string, spelling string, place string, full string, hint string, middle string"
@@ -263,8 +265,9 @@ def spelling_groups(read: DataFrame) -> DataFrame:
     """(key, type, full, place, cluster): spellings that say in full what stands at a place, grouped.
 
     Two places are one if a single edit turns one into the other, both have more
-    than four letters, and one of them was typed that way only once: a name that
-    was independently written twice in the same letters is not an error.
+    than four letters, and one of them is rare: typed that way only once, or borne
+    by at most one id for every ODDS of the other. A name that was independently
+    written twice in the same letters is an error only beside one so much commoner.
     """
     full = read.where(F.col("full") != "")
     key = F.concat_ws("\u0001", "type", "full", "place")
@@ -274,7 +277,7 @@ def spelling_groups(read: DataFrame) -> DataFrame:
     near = (
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
-        .where(F.least("wa", "wb") == 1)
+        .where((F.least("wa", "wb") == 1) | (F.least("ia", "ib") * ODDS <= F.greatest("ia", "ib")))
         .select("a", "b", "ia", "ib", F.col("cosine").alias("sim"))
     )
     clusters = main_forms(near)

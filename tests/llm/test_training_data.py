@@ -415,3 +415,9 @@ def test_all_pairs_one_edit_apart_meet(spark):
     assert {frozenset(("a1", "a2", "a3")), frozenset(("d1", "d2", "d3"))} <= got
     words = [""] + [a + b + c for a in "abc" for b in "abc" for c in ["", *"abc"]]
     assert all(not S.one_edit(a, b) or set(S.left_out(a)) & set(S.left_out(b)) for a in words for b in words)
+
+
+def test_a_recurring_error_is_rare_beside_its_name(spark):
+    rows = [(f"r{k}", ("Pagrokluvi, Ann", "Ann Pagrokluvi")[k % 2]) for k in range(12)] + [("e1", "Pagrokkluvi, Ann"), ("e2", "Ann Pagrokkluvi")]
+    rows += [(f"s{k}", ("Hansenok, Ann", "Ann Hansenok")[k % 2]) for k in range(4)] + [(f"t{k}", ("Hanzenok, Ann", "Ann Hanzenok")[k % 2]) for k in range(3)]
+    assert together(spark, rows) == {frozenset(i for i, _ in rows if i[0] in kinds) for kinds in ("re", "s", "t")}
