@@ -2,7 +2,8 @@
 
 1. Every spelling is read into a place (family name, or town of an institution)
    and what stands there (given name, or kind and subject), in one form.
-   Given names, short forms and subjects are learned from the corpus.
+   Given names, short forms and subjects are learned from the corpus and stay in
+   tables, which the words of the spellings are joined to; no size of it drops any.
 2. Two places one edit apart are the same once one character at most is left out
    of each. All pairs of the same kind and given name meet under hashes of what is
    left, and an exact check on single edits follows, so no partner is lost, however
@@ -31,15 +32,12 @@ from skeinmill.operators.hierarchy import tops
 from skeinmill.operators.skew import even_join
 from skeinmill.session import cut
 
-#: A word has to make up at least one in so many to be learned: at most so many are.
-VOCABULARY = 20_000
 #: Cosine from which cosine_pairs gives a pair. Names are not cut by it: all pairs one edit apart meet.
 COSINE = 0.45
 #: A form is an error of one that so many times as many ids bear.
 ODDS = 5
 #: Average similarity at which groups still merge under average linkage.
 LINKAGE = 0.2
-_READ = "entity_id string, type string, spelling string, place string, full string, hint string, middle string"
 
 
 def spellings(entities: DataFrame, aliases: DataFrame, types: tuple[str, ...] = ("Person", "Institution")) -> DataFrame:
@@ -64,30 +62,43 @@ def _words(kind: str):
                     out.extend(spelled.comma_subject(s))
                 else:
                     out.append(reader.acronym(s))
-            yield pd.DataFrame({"word": [w for w in out if w]})
+            yield pd.DataFrame({"word": [w for w in out if w]}, dtype=object)
 
     return run
 
 
-def _learned(rows: DataFrame, kind: str, least: int) -> dict[str, int]:
-    """Counts of the words of one kind; fewer than VOCABULARY by the share each must have."""
-    words = cut(rows.mapInPandas(_words(kind), "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n")))
-    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t")).first()["t"]
-    return {r["word"]: r["n"] for r in words.where((F.col("n") >= least) & (F.col("n") * VOCABULARY > total)).collect()}
+def _learned(rows: DataFrame, kind: str, least: int) -> DataFrame:
+    """(word, n) of all words of one kind that occur ``least`` times or more."""
+    return cut(rows.mapInPandas(_words(kind), "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least))
 
 
-def _reader(kind: str, *args):
+def _tokens(kind: str):
+    split = spelled.person_tokens if kind == "Person" else spelled.institute_tokens
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            yield pd.DataFrame([(s, t) for s in pdf["spelling"] for t in split(s)], columns=["spelling", "token"])
+
+    return run
+
+
+def _reader(kind: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if kind == "Person":
-            reader = spelled.PersonReader(spelled.Words(args[0], _sure()), args[1])
-        else:
-            reader = spelled.InstituteReader(spelled.Words(args[0]), args[1])
+        nothing = spelled.Words({})
+        reader = spelled.PersonReader(nothing) if kind == "Person" else spelled.InstituteReader(nothing)
         for pdf in frames:
-            got = [reader.read(s) for s in pdf["spelling"]]
-            keep = [r is not None for r in got]
-            out = pdf[["entity_id", "type", "spelling"]][keep]
-            got = [r for r in got if r is not None]
-            yield out.assign(place=[r.place for r in got], full=[r.full for r in got], hint=[r.hint for r in got], middle=[r.middle for r in got])
+            out = []
+            for s, found in zip(pdf["spelling"], pdf["words"]):
+                found = [] if found is None else found
+                looked = spelled.Looked(found)
+                if kind == "Person":
+                    reader.given = looked
+                else:
+                    reader.subjects, reader.acronyms = looked, frozenset({"nl", *(x["token"] for x in found if x["acronym"])})
+                r = reader.read(s)
+                if r is not None:
+                    out.append((s, r.place, r.full, r.hint, r.middle))
+            yield pd.DataFrame(out, columns=["spelling", "place", "full", "hint", "middle"])
 
     return run
 
@@ -96,8 +107,57 @@ def _sure() -> frozenset[str]:
     return frozenset(spelled.FULL_FORMS) | {x for fulls in spelled.FULL_FORMS.values() for x in fulls}
 
 
-def _short_forms(read: DataFrame, given: dict[str, int]) -> dict[str, set[str]]:
-    """Short forms that ids use beside one full name: neither listed nor one edit from it.
+def resolved(asked: DataFrame, learned: DataFrame, sure: frozenset[str] = frozenset(), prefixes: bool = False, odds: int = 5) -> DataFrame:
+    """(token, known, stands, longer) of the words ``asked`` (token): what Words of all ``learned`` (word, n) says of each.
+
+    The same rules as in spelled.Words, by joins: a word stands for itself or for the
+    commonest one an edit away; ``longer`` is the commonest that it begins, or that
+    it shortens by an apostrophe. Words that nothing is known of are left out.
+    """
+    fixed = asked.sparkSession.createDataFrame([(w, True) for w in sorted(sure)], "word string, sure boolean")
+    words = cut(learned.join(fixed, "word", "full").select("word", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("sure", F.lit(False)).alias("sure")))
+    own = cut(asked.select("token").union(words.select("word")).distinct().join(words.withColumnRenamed("word", "token"), "token", "left"))
+    unsure = own.where(~F.coalesce("sure", F.lit(False)) & (F.length("token") > 3)).select("token", F.col("token").alias("wa"))
+    met = edit_met(unsure, words.where(F.length("word") > 3).select("word", F.col("word").alias("wb")), "token", "word", [])
+    near = met.join(own.select("token", F.col("n").alias("m")), "token").join(words, "word")
+    enough = (F.col("n") >= F.greatest(F.lit(1), F.coalesce("m", F.lit(0)) * odds)) | (F.col("sure") & F.col("m").isNull())
+    best = near.where(enough).groupBy("token").agg(F.max(F.struct("n", "word")).alias("r")).select("token", F.col("r.word").alias("best"))
+    known = F.col("n").isNotNull()
+    stands = F.when(F.col("sure"), F.col("token")).when(known, F.coalesce("best", "token")).otherwise(F.col("best"))
+    out = cut(own.join(best, "token", "left").select("token", known.alias("known"), stands.alias("stands")))
+    if not prefixes:
+        return out.withColumn("longer", F.lit(None).cast("string")).where(F.col("stands").isNotNull())
+    counts = words.select(F.col("word").alias("stands"), F.col("n").alias("m"))
+    full = out.where("known").select(F.col("token").alias("word"), "stands").join(counts, "stands")
+    begun = full.select("word", "stands", "m", F.explode(_starts("word")).alias("print"))
+    head = F.substring_index("token", "'", 1)
+    probe = out.where(F.length("token") > 2).select("token", head.alias("head"), F.try_element_at(_starts(head), F.lit(-1)).alias("print"))
+    tail = F.expr("substring(token, length(head) + 2)")
+    clipped = F.col("token").contains("'")
+    fits = F.when(clipped, F.col("word").endswith(tail) & (F.col("word") == F.col("stands"))).otherwise(F.length("word") > F.length("token"))
+    longer = probe.join(begun, "print").where(F.col("word").startswith(F.col("head")) & fits).groupBy("token").agg(F.max(F.struct("m", "stands")).alias("r"))
+    out = out.join(longer.select("token", F.col("r.stands").alias("longer")), "token", "left")
+    return out.where(F.col("stands").isNotNull() | F.col("longer").isNotNull())
+
+
+def _read(rows: DataFrame, kind: str, learned: DataFrame, acronyms: DataFrame | None = None) -> DataFrame:
+    """``rows`` with the reading of each spelling that could be read; words are looked up per spelling."""
+    spellings_ = cut(rows.select("spelling").distinct())
+    tokens = cut(spellings_.mapInPandas(_tokens(kind), "spelling string, token string"))
+    asked = tokens.select("token").distinct()
+    found = resolved(asked, learned, _sure() if kind == "Person" else frozenset(), kind != "Person")
+    if acronyms is None:
+        found = found.withColumn("acronym", F.lit(False))
+    else:
+        short = acronyms.select(F.col("word").alias("token"), F.lit(True).alias("acronym"))
+        found = found.join(short, "token", "full").select("token", F.coalesce("known", F.lit(False)).alias("known"), "stands", "longer", F.coalesce("acronym", F.lit(False)).alias("acronym"))
+    words = even_join(tokens, cut(found), "token").groupBy("spelling").agg(F.collect_list(F.struct("token", "known", "stands", "longer", "acronym")).alias("words"))
+    read = spellings_.join(words, "spelling", "left").mapInPandas(_reader(kind), "spelling string, place string, full string, hint string, middle string")
+    return even_join(rows, cut(read), "spelling").select("entity_id", "type", "spelling", "place", "full", "hint", "middle")
+
+
+def _short_forms(read: DataFrame, given: DataFrame) -> DataFrame:
+    """(full, long): short forms that ids use beside one full name, neither listed nor one edit from it.
 
     A form counts as short for the name that stands beside it in two or more ids
     and in most of the ids where it stands beside any.
@@ -105,26 +165,23 @@ def _short_forms(read: DataFrame, given: dict[str, int]) -> dict[str, set[str]]:
     fulls = read.where(F.col("full") != "").select("entity_id", "full").distinct()
     # An id has more than one given name only by way of a short form or an error; ids are what is grouped.
     several = fulls.groupBy("entity_id").agg(F.min("full").alias("a"), F.max("full").alias("b")).where(F.col("a") != F.col("b"))
-    pairs = cut(several.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
-    total = max(1, sum(given.values()))
-    votes: dict[str, dict[str, int]] = {}
-    for r in pairs.where(F.col("n") * VOCABULARY > total / 10).collect():
-        short, full = sorted((r["a"], r["b"]), key=lambda w: (given.get(w, 0), w))
-        if given.get(full, 0) >= 5 * given.get(short, 0) and not spelled.one_edit(short, full):
-            votes.setdefault(short, {})[full] = r["n"]
-    return {s: {max(v, key=lambda f: (v[f], f))} for s, v in votes.items() if 2 * max(v.values()) > sum(v.values())}
+    pairs = several.groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes")).where(F.col("votes") > 1)
+    side = lambda c: given.select(F.col("word").alias(c), F.col("n").alias(f"n{c}"))
+    pairs = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").fillna(0, ["na", "nb"])
+    low, high = F.least(F.struct("na", F.col("a").alias("w")), F.struct(F.col("nb").alias("na"), F.col("b").alias("w"))), F.greatest(F.struct("na", F.col("a").alias("w")), F.struct(F.col("nb").alias("na"), F.col("b").alias("w")))
+    ranked = cut(pairs.select(low.alias("low"), high.alias("high"), "votes").where(F.col("high.na") >= 5 * F.col("low.na")).select(F.col("low.w").alias("short"), F.col("high.w").alias("long"), "votes"))
+    best = ranked.where(~_one_edit("short", "long")).groupBy("short").agg(F.max(F.struct("votes", "long")).alias("r"), F.sum("votes").alias("total"))
+    return best.where(2 * F.col("r.votes") > F.col("total")).select(F.col("short").alias("full"), F.col("r.long").alias("long"))
 
 
 def readings(rows: DataFrame) -> DataFrame:
     """(entity_id, type, spelling, place, full, hint, middle) of every spelling that could be read."""
     people, places = rows.where(F.col("type") == "Person"), rows.where(F.col("type") == "Institution")
     given = _learned(people, "given", 3)
-    subjects = _learned(places, "subject", 1)
-    acronyms = frozenset(_learned(places, "acronym", 2))
-    first = people.mapInPandas(_reader("Person", given, {}), _READ)
-    short = _short_forms(first, given)
-    out = people.mapInPandas(_reader("Person", given, short), _READ)
-    return cut(out.unionByName(places.mapInPandas(_reader("Institution", subjects, acronyms), _READ)))
+    first = cut(_read(people, "Person", given))
+    named = even_join(first, cut(_short_forms(first, given)), "full", "left")
+    named = named.select("entity_id", "type", "spelling", "place", F.coalesce("long", "full").alias("full"), "hint", "middle")
+    return cut(named.unionByName(_read(places, "Institution", _learned(places, "subject", 1), _learned(places, "acronym", 2))))
 
 
 def _grams(place):
@@ -190,6 +247,11 @@ def cosine_pairs(keys: DataFrame, least: float = COSINE, reach: int | None = Non
     return _cosines(met, vectors, numbered).where(F.col("cosine") >= least)
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _starts(words: pd.Series) -> pd.Series:
+    return words.map(spelled.starts)
+
+
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def _left_out(words: pd.Series) -> pd.Series:
     return words.map(spelled.left_out)

@@ -155,6 +155,30 @@ class Words:
             return self.known[w]
         return self._best(w, 0)
 
+    def longer(self, w: str) -> str | None:
+        """The commonest word that ``w`` begins, or shortens by an apostrophe."""
+        if "'" in w:
+            head, tail = w.split("'", 1)
+            found = {x for x, y in self.known.items() if x == y and x.startswith(head) and x.endswith(tail)}
+        else:
+            found = {y for x, y in self.known.items() if len(x) > len(w) and x.startswith(w) and len(w) >= 3}
+        return max(found, key=lambda x: (self.counts.get(x, 0), x)) if found else None
+
+
+class Looked:
+    """What Words tells of the words of one spelling, looked up beforehand."""
+
+    def __init__(self, found) -> None:
+        self.known = {x["token"]: x["stands"] for x in found if x["known"]}
+        self._stands = {x["token"]: x["stands"] for x in found}
+        self._longer = {x["token"]: x["longer"] for x in found}
+
+    def correct(self, w: str) -> str | None:
+        return self._stands.get(w)
+
+    def longer(self, w: str) -> str | None:
+        return self._longer.get(w)
+
 
 @dataclass(frozen=True)
 class Reading:
@@ -188,6 +212,12 @@ def comma_given(spelling: str) -> str | None:
     return None if "." in first or len(first) < 3 else _word(first)
 
 
+def person_tokens(spelling: str) -> set[str]:
+    """All words of a spelling that PersonReader may look up."""
+    ws = {_word(t) for t in plain(spelling).replace(",", " ").split()}
+    return {w for w in ws | {untransliterated(w) for w in ws} if w}
+
+
 class PersonReader:
     """Reads ``Given M. Family``, ``Family, Given``, ``FAMILY Given``, ``GM Family`` and the like.
 
@@ -293,6 +323,11 @@ def comma_subject(spelling: str) -> list[str]:
     return [w for w in ws[2:] if w not in LINK_WORDS]
 
 
+def institute_tokens(spelling: str) -> set[str]:
+    """All words of a spelling that InstituteReader may look up."""
+    return {w.lower() for w in _INSTITUTE_WORD.findall(plain(spelling))}
+
+
 class InstituteReader:
     """Reads ``Kind for Subject, Place``, ``Place Kind``, ``Kind of Place``, ``ABC, Place`` and the like.
 
@@ -306,17 +341,15 @@ class InstituteReader:
 
     def _subject(self, w: str, shortened: bool) -> str | None:
         if "'" in w:
-            head, tail = w.split("'", 1)
-            found = [x for x, y in self.subjects.known.items() if x == y and x.startswith(head) and x.endswith(tail)]
-            return max(found, key=lambda x: self.subjects.counts.get(x, 0)) if found else None
+            return self.subjects.longer(w)
         got = self.subjects.known.get(w)
         if got:
             if not shortened or got != w:
                 return got
         if shortened or (not got and len(w) >= 3):
-            found = {y for x, y in self.subjects.known.items() if len(x) > len(w) and x.startswith(w) and len(w) >= 3}
+            found = self.subjects.longer(w)
             if found and (shortened or len(w) >= 4):
-                return max(found, key=lambda x: (self.subjects.counts.get(x, 0), x))
+                return found
         return got or (self.subjects.correct(w) if len(w) > 4 else None)
 
     def read(self, spelling: str) -> Reading | None:

@@ -421,3 +421,24 @@ def test_a_recurring_error_is_rare_beside_its_name(spark):
     rows = [(f"r{k}", ("Pagrokluvi, Ann", "Ann Pagrokluvi")[k % 2]) for k in range(12)] + [("e1", "Pagrokkluvi, Ann"), ("e2", "Ann Pagrokkluvi")]
     rows += [(f"s{k}", ("Hansenok, Ann", "Ann Hansenok")[k % 2]) for k in range(4)] + [(f"t{k}", ("Hanzenok, Ann", "Ann Hanzenok")[k % 2]) for k in range(3)]
     assert together(spark, rows) == {frozenset(i for i, _ in rows if i[0] in kinds) for kinds in ("re", "s", "t")}
+
+
+def test_words_looked_up_by_joins(spark):
+    random.seed(5)
+    tokens = sorted({"".join(random.choice("abc'" if k % 9 == 0 else "abc") for _ in range(random.randrange(1, 7))) for k in range(700)} - {""})
+    tokens = [t for t in tokens if not t.startswith("'")]
+    counts = {w: random.choice((1, 2, 9, 60)) for w in tokens if "'" not in w and random.random() < 0.3}
+    sure = frozenset(("abcab", "ccca"))
+    want = S.Words(counts, sure)
+    learned = spark.createDataFrame(list(counts.items()), "word string, n bigint")
+    found = [r.asDict() for r in N.resolved(spark.createDataFrame([(t,) for t in tokens], "token string"), learned, sure, True).collect()]
+    got = S.Looked(found)
+    assert got.known == want.known
+    assert all(got.correct(t) == want.correct(t) and (len(t) < 3 or got.longer(t) == want.longer(t)) for t in tokens)
+
+
+def test_rare_given_names_are_learned_at_any_size(spark):
+    rows = spark.range(61_000).select(F.concat(F.lit("m"), "id").alias("entity_id"), F.lit("Person").alias("type"), F.concat(F.lit("Fam"), "id", F.lit(", Edward")).alias("spelling"))
+    rare = [(f"x{k}", "Person", f"{f}, Zyxabel") for k, f in enumerate(("Pogru", "Vlista", "Kamo"))] + [("x9", "Person", "pogru zyxabel")]
+    got = N.readings(rows.unionByName(spark.createDataFrame(rare, rows.schema))).where("entity_id = 'x9'").collect()
+    assert [(r["place"], r["full"]) for r in got] == [("pogru", "zyxabel")]
