@@ -77,12 +77,13 @@ def literature_hits(spark: SparkSession, get: Get, author: str, size: int = 100,
     return pages.mapInPandas(run, HITS)
 
 
-def looked_up(rows: DataFrame, key: str, identifiers: str, title: str, get: Get, rows_per_answer: int = 2) -> DataFrame:
+def looked_up(rows: DataFrame, key: str, identifiers: str, title: str, get: Get, rows_per_answer: int = 2, rows_per_page: int = 200) -> DataFrame:
     """``key`` and the enriching document of each row (S12, S13): by its identifiers in order, else by title.
 
     An identifier with more than one hit is an error. A title counts only if it is
     the same in comparable form and leads to one document; the phrase is asked
-    first, then its words.
+    first, then, where none has the title, its words. All hits of a title are
+    compared, ``rows_per_page`` at a time.
     """
     kind = dict(rows.dtypes)[key]
 
@@ -97,6 +98,20 @@ def looked_up(rows: DataFrame, key: str, identifiers: str, title: str, get: Get,
     def ask(q: str) -> list[dict]:
         return _path(get("search/query", {"q": q, "rows": rows_per_answer}), "response", "docs") or []
 
+    def titled(q: str, key: str) -> list[dict]:
+        """All hits of a search whose title has this comparable form."""
+        found, start, last = [], 0, None
+        while True:
+            answer = get("search/query", {"q": q, "rows": rows_per_page, "start": start})
+            docs, total = _path(answer, "response", "docs") or [], _path(answer, "response", "numFound")
+            # A source that knows no pages repeats its answer.
+            if docs == last:
+                return found
+            found += [d for d in docs if X.title_key_of((d.get("title") or [""])[0]) == key]
+            start, last = start + len(docs), docs
+            if not docs or (start >= total if isinstance(total, int) else len(docs) < rows_per_page):
+                return found
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             out = []
@@ -112,9 +127,9 @@ def looked_up(rows: DataFrame, key: str, identifiers: str, title: str, get: Get,
                         break
                 if hit is None and t:
                     for q in (f'title:"{t}"', "title:(" + " ".join(X.title_key_of(t).split()) + ")"):
-                        docs = [d for d in ask(q) if X.title_key_of((d.get("title") or [""])[0]) == X.title_key_of(t)]
-                        if len(docs) == 1:
-                            hit = document(t, docs)
+                        docs = titled(q, X.title_key_of(t))
+                        if docs:
+                            hit = document(t, docs) if len(docs) == 1 else None
                             break
                 if hit:
                     out.append((k, *hit))

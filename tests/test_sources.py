@@ -213,6 +213,18 @@ def test_lookup_and_enrichment(spark):
         rest.looked_up(spark.createDataFrame([("p", {"doi": "dup"}, "t")], rows.schema), "id", "identifiers", "name", recorded()).collect()
 
 
+def test_all_hits_of_a_title_are_compared(spark):
+    def get(path, params):
+        other = [{"bibcode": f"o{i}", "title": [f"Dark matter {i}"]} for i in range(4)]
+        docs = {'title:"Dark matter"': [*other, {"bibcode": "b5", "title": ["Dark Matter"]}], 'title:"Two"': [{"bibcode": "t1", "title": ["Two"]}, *other, {"bibcode": "t2", "title": ["Two."]}], "title:(two)": [{"bibcode": "t1", "title": ["Two"]}]}.get(params["q"], [])
+        start = params.get("start", 0)
+        return {"response": {"numFound": len(docs), "docs": docs[start : start + params["rows"]]}}
+
+    rows = spark.createDataFrame([("p1", {}, "Dark matter"), ("p2", {}, "Two")], "id string, identifiers map<string,string>, name string")
+    for more in ({}, {"rows_per_page": 2}):
+        assert [(r["id"], r["bibcode"]) for r in rest.looked_up(rows, "id", "identifiers", "name", get, **more).collect()] == [("p1", "b5")]
+
+
 def test_bounded_authors(spark):
     rows = spark.createDataFrame([("a", "X, A; Big Collaboration; Y; X, A; Z", 3), ("b", "; ".join(f"N{i}" for i in range(30)), 30), ("c", "A;B;C;D;E;F;G", None), ("d", None, 1)], "id string, names string, n int")
     got = {}
