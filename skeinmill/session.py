@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -33,18 +31,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably and cut its lineage.
 
-    Uses the shared folder named by ``spark.checkpoint.dir``. Only a local
-    master may fall back to a temporary folder of its own; on a cluster an
-    unset folder is an error, as a machine-local one would not survive the
-    loss of an executor.
+    Uses the shared folder named by ``spark.checkpoint.dir``. An unset folder is
+    an error: a machine-local one would not survive the loss of an executor.
+    The result is planned with the size it has in that folder.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="skeinmill-")
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return _measured(df.checkpoint(eager=True))
+
+
+def _measured(done: DataFrame) -> DataFrame:
+    """A checkpointed frame with its measured size for an estimate, and no predicates carried on.
+
+    Spark hands on the estimate of the plan that was cut, a product over all joins
+    so far, as well as all predicates known of it; after a few dozen steps planning
+    takes longer than the jobs. Measured, small results are broadcast and large ones never.
+    """
+    spark = done.sparkSession
+    jvm, session = spark._jvm, spark._jsparkSession
+    old = done._jdf.queryExecution().analyzed()
+    file = old.rdd().getCheckpointFile()
+    if file.isEmpty():
+        return done
+    path = jvm.org.apache.hadoop.fs.Path(file.get())
+    size = path.getFileSystem(session.sparkContext().hadoopConfiguration()).getContentSummary(path).getLength()
+    none = jvm.scala.Option.apply(None)
+    stats = spark.range(max(size // 8, 1))._jdf.queryExecution().analyzed().stats()
+    new = jvm.org.apache.spark.sql.execution.LogicalRDD(old.output(), old.rdd(), old.outputPartitioning(), old.outputOrdering(), False, none, session, jvm.scala.Option.apply(stats), none)
+    return DataFrame(jvm.org.apache.spark.sql.classic.Dataset.ofRows(session, new), spark)
