@@ -6,49 +6,13 @@ import re
 import unicodedata
 from dataclasses import dataclass, field
 
-#: English short forms of given names, after the full name.
-SHORT_FORMS = """
-aleksandr: sasha alek alex sanya
-anthony: tony
-benjamin: ben benny
-charlotte: lottie
-dmitri: dima mitya
-edward: ned ted ed eddie
-elizabeth: beth liz betty lizzie
-francisco: paco pancho
-frederick: fred freddie freddy
-friedrich: fritz
-gertrude: trudi trudy gertie
-giovanni: gianni
-guadalupe: lupe
-gwendolyn: gwen
-jennifer: jen jenny
-johannes: hannes
-josefina: pepa
-katherine: kathy kate katie
-lawrence: larry
-margaret: maggie meg peggy
-michael: mike mick mickey
-nathaniel: nate nat
-penelope: nell penny
-richard: dick rick rich
-robert: rob bob bobby
-rosalind: roz
-susannah: sue susie
-theodore: ted theo teddy
-tomasz: tomek
-ulrich: uli
-vincenzo: enzo
-wilhelmina: mina
-william: bill will billy willy
-yevgenia: zhenya
-zofia: zosia
-"""
 #: Titles before and letters after a person's name.
 TITLES = {"dr", "prof", "professor", "mr", "mrs", "ms", "mx", "sir", "dame", "rev"}
 SUFFIXES = {"phd", "msc", "bsc", "ma", "md", "dphil", "dsc", "esq", "jr", "sr", "ii", "iii", "iv"}
 #: Particles that belong to a family name.
 PARTICLES = {"de", "la", "van", "der", "den", "al", "von", "zu", "di", "da", "del", "el", "le", "du", "dos", "ibn", "bin", "ter", "ten", "of"}
+#: Particles and runs of them that are written together with a family name.
+GLUED = ("de", "la", "van", "der", "den", "al", "von", "di", "da", "del", "el", "le", "du", "dos", "ibn", "bin", "dela", "vander", "vanden", "vonder")
 #: Kinds of institution with their short forms.
 KINDS = {
     "centre": "centre center ctr cen cent", "institute": "institute inst instit", "university": "university univ uni u",
@@ -64,7 +28,6 @@ PLAIN = str.maketrans({"ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "
 #: Of the rolling hashes; they only bring words together that are then compared.
 _BASE, _PRIME = 0x1F3D5B79A2C4E, (1 << 61) - 1
 
-FULL_FORMS = {short: {line.split(":")[0] for line in SHORT_FORMS.split("\n") if short in line.partition(":")[2].split()} for short in " ".join(x.partition(":")[2] for x in SHORT_FORMS.split("\n")).split()}
 KIND_OF = {form: kind for kind, forms in KINDS.items() for form in forms.split()}
 
 
@@ -225,11 +188,8 @@ class PersonReader:
     comma; they tell given from family names where order and case don't.
     """
 
-    def __init__(self, given: Words, learned: dict[str, set[str]] | None = None) -> None:
+    def __init__(self, given: Words) -> None:
         self.given = given
-        self.fulls = {k: set(v) for k, v in FULL_FORMS.items()}
-        for short, fulls in (learned or {}).items():
-            self.fulls.setdefault(short, set()).update(fulls)
 
     def _given(self, w: str) -> str | None:
         got = self.given.correct(w)
@@ -271,7 +231,7 @@ class PersonReader:
         return ts[k:], ts[:k]
 
     def read(self, spelling: str) -> Reading | None:
-        """None where there is no family name with anything beside it."""
+        """A single word is read as a whole; None where there is no word."""
         parts = [p.strip() for p in plain(spelling).split(",")]
         parts = [p for p in parts if p and _word(p).replace(".", "") not in SUFFIXES]
         cut = []
@@ -287,28 +247,34 @@ class PersonReader:
         elif cut and len(cut[0]) > 1:
             family, given = self._split(cut[0])
         else:
-            return None
+            return whole(" ".join(cut[0])) if cut else None
         if not family or not given:
             return None
-        name = untransliterated(re.sub(r"[^a-z ]", "", " ".join(map(_word, family)).replace("-", " ")))
+        name = untransliterated(re.sub(r"(?![ ])[\W\d_]", "", " ".join(map(_word, family)).replace("-", " ")))
         shouted = all(t.isupper() for t in family + given) and _word(given[0]) in self.given.known
-        first, rest = given[0], [re.sub(r"[^a-z]", "", _word(t)) for t in given[1:]]
+        first, rest = given[0], [re.sub(r"[\W\d_]", "", _word(t)) for t in given[1:]]
         middle = rest[0][:1] if rest and rest[0] else ""
         if (_is_initials(first, shouted) or re.fullmatch("[A-Z]{2}", first)) and (_word(first) not in self.given.known or re.fullmatch("[A-Z]{2}", first)):
-            letters = re.sub(r"[^a-z]", "", first.lower())
+            letters = re.sub(r"[\W\d_]", "", first.lower())
             return Reading(name, hint=letters[:1], middle=letters[1:2] or middle) if letters and name else None
-        w = self._given(_word(first)) or _word(first)
-        fulls = self.fulls.get(w, ())
-        if len(fulls) == 1:
-            return Reading(name, full=next(iter(fulls)), middle=middle)
-        return Reading(name, hint=w, middle=middle) if fulls else Reading(name, full=w, middle=middle)
+        return Reading(name, full=self._given(_word(first)) or _word(first), middle=middle) if name else None
+
+
+def whole(spelling: str) -> Reading | None:
+    """A spelling that can't be taken apart, which is like equal ones only."""
+    w = " ".join(re.findall(r"[^\W_]+", spelling.lower()))
+    return Reading(w, full=f"= {w}") if w else None
+
 
-    def hints(self, full: str) -> set[tuple[str, str]]:
-        """(hint, middle) that may stand for a given name: its initial, both initials of a double name, unclear short forms."""
-        out = {(full[:1], "")}
-        if "-" in full:
-            out.add((full[0], full.partition("-")[2][:1]))
-        return out | {(short, "") for short, fulls in self.fulls.items() if len(fulls) > 1 and full in fulls}
+def initials(full: str) -> set[tuple[str, str]]:
+    """(hint, middle) that may stand for a given name: its initial, and both initials of a double name."""
+    return {(full[:1], "")} | ({(full[0], full.partition("-")[2][:1])} if "-" in full else set())
+
+
+def core(place: str, particles: bool) -> str:
+    """A family name (without its particles) or place, in one piece: ``van der Berg`` and ``Berg`` alike."""
+    ws = place.split()
+    return "".join(w for w in ws if w not in PARTICLES) or "".join(ws) if particles else "".join(ws)
 
 
 _INSTITUTE_WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
@@ -376,7 +342,7 @@ class InstituteReader:
             place = [w for w in place if w in apart]
         name = untransliterated(" ".join(place))
         if not name:
-            return None
+            return whole(s)
         full = " ".join([*sorted(set(kinds)), "|", *sorted(set(subject))]) if kinds else ""
         if full:
             return Reading(name, full=full)
