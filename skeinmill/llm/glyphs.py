@@ -1,15 +1,18 @@
 """One consistent form for text that looks the same but is stored with other characters.
 
-Two layers. ``skeleton`` folds single characters by table: width, composition,
-joined letters, kinds of blank, ignorables, look-alike letters, hyphens and unit
-signs. Above it, each token that holds a suspicious character is matched
-against the vocabulary of the whole corpus: a trie of the clean tokens is
-traversed by a weighted edit automaton in which swapping look-alikes, splitting
-joined letters and skipping ignorables cost nothing and all other edits are
-excluded; of the clean spellings reached, the most frequent becomes canonical.
-Tokens that reach none take the table form. A spelling is reached exactly if it
-has the token's skeleton, so tokens and spellings meet by hash of the skeleton
-and tries stay as small as one bucket, however large the vocabulary grows.
+The vocabulary of the whole corpus decides. Clean spellings (composed, of one
+script) stand in tries; every token that is not plain is led through them by a
+weighted edit automaton in which look-alikes, joined letters, composition and
+ignorables cost nothing and every other edit costs one, which no budget here
+allows. Of the clean spellings reached, one in ASCII becomes canonical, else the
+most frequent. So a Cyrillic word that could be read as a Latin one is
+rewritten exactly where the corpus has the Latin one, and no table could tell.
+A token of mixed scripts that reaches nothing is tried once more with the wider
+look-alikes of Unicode's confusables, which are believed only there. What is
+left is normalised by table, character by character, if it is of mixed scripts or
+holds forms, and left alone if it is clean. Tokens and spellings meet by hash
+of their widest folding, so tries stay as small as one bucket, however
+large the vocabulary grows.
 """
 
 from __future__ import annotations
@@ -18,9 +21,10 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinmill.operators.skew import even_join
@@ -79,12 +83,13 @@ def skeleton(text: str) -> str:
     return text if text.isascii() else unicodedata.normalize("NFC", text.translate(table()))
 
 
-#: Word-like pieces between blanks; only they are matched with the vocabulary.
-_TOKEN = re.compile(r"[^\s]+")
+@lru_cache(maxsize=100_000)
+def _script(c: str) -> str:
+    return unicodedata.name(c, "?").split(" ")[0]
 
 
 def _scripts(token: str) -> set[str]:
-    return {unicodedata.name(c, "?").split(" ")[0] for c in token if c.isalpha()}
+    return {_script(c) for c in token if c.isalpha()}
 
 
 def is_clean(token: str) -> bool:
@@ -97,57 +102,92 @@ def is_clean(token: str) -> bool:
     return all(ord(c) not in t or c in LOOK_ALIKES or unicodedata.decomposition(c)[:1] not in ("", "<") for c in token)
 
 
+def plain_form(token: str) -> str:
+    """What becomes of a token that reaches no other spelling: itself if it is clean, else its table form."""
+    return token if is_clean(token) else skeleton(token)
+
+
+#: Capital and small letters of other scripts are compared with these.
+_LATIN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+
+def confusables(spark: SparkSession) -> dict[str, str]:
+    """Letters that Unicode's confusables (from ICU, which comes with Spark) give the shape of an ASCII letter of the same case.
+
+    Letters with a decomposition are left to the table. Of two ASCII letters of one shape none is taken.
+    """
+    checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    mark = "\u2603"
+    shapes = lambda cs: checker.getSkeleton(mark.join(cs)).split(mark)
+    latin: dict[tuple[str, bool], str] = {}
+    for shape, c in zip(shapes(_LATIN), _LATIN):
+        latin[shape, c.isupper()] = "" if (shape, c.isupper()) in latin else c
+    others = [c for c in map(chr, range(0x80, 0x10000)) if unicodedata.category(c) in ("Lu", "Ll") and not unicodedata.decomposition(c)]
+    found = {c: latin.get((shape, c.isupper())) for shape, c in zip(shapes(others), others)}
+    return {c: to for c, to in found.items() if to} | LOOK_ALIKES
+
+
+def wide_skeleton(token: str, wide: dict[int, str]) -> str:
+    """The skeleton with the wider look-alikes folded too."""
+    folded = skeleton(token)
+    return folded if folded.isascii() else unicodedata.normalize("NFC", unicodedata.normalize("NFD", folded).translate(wide))
+
+
 class Trie:
-    """Clean spellings by the folded characters along their path."""
+    """Clean spellings by their characters; ``fold`` says what a character looks like."""
 
-    def __init__(self) -> None:
-        self.next: list[dict[str, int]] = [{}]
-        self.best: list[tuple[bool, int, str] | None] = [None]
+    def __init__(self, fold=lambda c: table().get(ord(c), c)) -> None:
+        self.fold = fold
+        # Per node: the first character that a child looks like -> (child, the rest of what it looks like).
+        self.next: list[dict[str, list[tuple[int, str]]]] = [{}]
+        self.known: list[dict[str, int]] = [{}]
+        self.ends: list[tuple[bool, int, str] | None] = [None]
 
     def add(self, spelling: str, n: int) -> None:
-        at, t = 0, table()
+        at = 0
         for c in spelling:
-            for d in t.get(ord(c), c):
-                to = self.next[at].get(d)
-                if to is None:
-                    to = self.next[at][d] = len(self.next)
-                    self.next.append({})
-                    self.best.append(None)
-                at = to
-        rank = (not spelling.isascii(), -n, spelling)
-        if self.best[at] is None or rank < self.best[at]:
-            self.best[at] = rank
+            to = self.known[at].get(c)
+            if to is None:
+                to = self.known[at][c] = len(self.next)
+                self.next.append({})
+                self.known.append({})
+                self.ends.append(None)
+                looks = self.fold(c)
+                self.next[at].setdefault(looks[0], []).append((to, looks[1:]))
+            at = to
+        self.ends[at] = (not spelling.isascii(), -n, spelling)
 
     def reach(self, token: str, budget: int = 0) -> str | None:
         """The canonical spelling at least cost up to ``budget``.
 
-        States are (trie node, cost). Folding a character to its look-alike, to the
-        letters it joins or to nothing costs 0; any substitution, insertion or
-        deletion of a drawn character costs 1.
+        States are (node, what is left of its last character) with their cost. A
+        look-alike, the letters a character joins and nothing for an ignorable cost 0;
+        any substitution, insertion or deletion of a drawn character costs 1.
         """
-        t = table()
-        states = {0: 0}
+        states = self._inserted({(0, ""): 0}, budget)
         for c in token:
-            for d in t.get(ord(c), c):
-                step: dict[int, int] = {}
-                for at, cost in states.items():
-                    moves = [(self.next[at].get(d), cost)]
-                    if budget > cost:
-                        moves += [(to, cost + 1) for to in self.next[at].values()] + [(at, cost + 1)]
+            for d in self.fold(c):
+                step: dict[tuple[int, str], int] = {}
+                for (at, rest), cost in states.items():
+                    moves = [((at, rest[1:]), cost + (rest[0] != d))] if rest else [(to, cost) for to in self.next[at].get(d, ())]
+                    if cost < budget:
+                        moves.append(((at, rest), cost + 1))
+                        if not rest:
+                            moves += [(to, cost + 1) for tos in self.next[at].values() for to in tos]
                     for to, total in moves:
-                        if to is not None and total < step.get(to, budget + 1):
+                        if total <= budget and total < step.get(to, budget + 1):
                             step[to] = total
                 states = self._inserted(step, budget)
                 if not states:
                     return None
-        ends = [(cost, self.best[at]) for at, cost in states.items() if self.best[at]]
+        ends = [(cost, self.ends[at]) for (at, rest), cost in states.items() if not rest and self.ends[at]]
         return min(ends)[1][2] if ends else None
 
-    def _inserted(self, states: dict[int, int], budget: int) -> dict[int, int]:
+    def _inserted(self, states: dict[tuple[int, str], int], budget: int) -> dict[tuple[int, str], int]:
         queue = [x for x in states.items() if x[1] < budget]
         while queue:
-            at, cost = queue.pop()
-            for to in self.next[at].values():
+            (at, rest), cost = queue.pop()
+            for to in [(at, rest[1:])] if rest else [to for tos in self.next[at].values() for to in tos]:
                 if cost + 1 < states.get(to, budget + 1):
                     states[to] = cost + 1
                     if cost + 1 < budget:
@@ -155,29 +195,38 @@ class Trie:
         return states
 
 
-def _tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Tokens with a letter, with their skeleton and count in this batch."""
-    for pdf in frames:
-        counts: Counter[str] = Counter()
-        for text in pdf["text"]:
-            if text:
-                counts.update(_TOKEN.findall(text))
-        names = [x for x in counts if not x.isascii() or any(map(str.isalpha, x))]
-        yield pd.DataFrame({"token": names, "skeleton": [skeleton(x) for x in names], "n": [counts[x] for x in names], "clean": [is_clean(x) for x in names]})
-
-
-def _match(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Spellings of one bucket of skeletons: the trie of its clean tokens, reached by all others."""
-    trie = Trie()
-    for spelling, n in zip(pdf["token"][pdf["clean"]], pdf["n"][pdf["clean"]]):
-        trie.add(spelling, int(n))
-    rows = []
-    for token, own in zip(pdf["token"], pdf["skeleton"]):
-        found = trie.reach(token)
-        canonical = unicodedata.normalize("NFC", found) if found is not None else own
-        if canonical != own:
-            rows.append((token, canonical))
-    return pd.DataFrame(rows, columns=["token", "canonical"])
+def _tokens(wide: dict[int, str]):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Tokens with a letter, with their widest folding and count in this batch."""
+        for pdf in frames:
+            counts: Counter[str] = Counter()
+            for text in pdf["text"]:
+                if text:
+                    counts.update(text.split())
+            names = [x for x in counts if not x.isascii() or any(map(str.isalpha, x))]
+            yield pd.DataFrame({"token": names, "folded": [x if x.isascii() else wide_skeleton(x, wide) for x in names], "n": [counts[x] for x in names], "clean": [is_clean(x) for x in names]})
+
+    return run
+
+
+def _match(wide: dict[int, str]):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Spellings of one bucket: the tries of its clean tokens, traversed by all tokens."""
+        near, far = Trie(), Trie(lambda c: "".join(wide.get(ord(d), d) for d in table().get(ord(c), c)))
+        for spelling, n in zip(pdf["token"][pdf["clean"]], pdf["n"][pdf["clean"]]):
+            near.add(spelling, int(n))
+            far.add(spelling, int(n))
+        rows = []
+        for token, clean in zip(pdf["token"], pdf["clean"]):
+            found = near.reach(token)
+            if found is None and not clean and len(_scripts(token)) > 1:
+                found = far.reach(token)
+                found = found and near.reach(found)
+            if found is not None and found != plain_form(token):
+                rows.append((token, found))
+        return pd.DataFrame(rows, columns=["token", "canonical"])
+
+    return run
 
 
 #: Distinct tokens of one bucket, about.
@@ -185,23 +234,24 @@ BUCKET = 20_000
 
 
 def spellings(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(token, canonical): every token of the corpus whose canonical spelling isn't its table form.
+    """(token, canonical): every token of the corpus whose canonical spelling isn't its plain form.
 
     Of the clean spellings a token reaches, one in ASCII wins, then the most
     frequent, then the smallest; so no spelling in ASCII is ever rewritten.
     Counts cover all texts. Null and empty texts hold no tokens.
     """
+    wide = {ord(c): to for c, to in confusables(docs.sparkSession).items()}
     found = cut(
         docs.select(F.col(text).alias("text"))
-        .mapInPandas(_tokens, "token string, skeleton string, n long, clean boolean")
-        .groupBy("token", "skeleton", "clean")
+        .mapInPandas(_tokens(wide), "token string, folded string, n long, clean boolean")
+        .groupBy("token", "folded", "clean")
         .agg(F.sum("n").alias("n"))
     )
-    # A skeleton that only ASCII tokens have is its own canonical spelling.
-    open_ = found.where(F.col("token").rlike(r"[^\x00-\x7f]")).select("skeleton").distinct()
-    found = cut(found.join(open_, "skeleton", "left_semi"))
-    bucket = F.pmod(F.xxhash64("skeleton"), F.lit(max(1, -(-found.count() // BUCKET))))
-    return found.groupBy(bucket.alias("bucket")).applyInPandas(_match, "token string, canonical string")
+    # What folds as only ASCII tokens do is its own canonical spelling.
+    open_ = found.where(F.col("token").rlike(r"[^\x00-\x7f]")).select("folded").distinct()
+    found = cut(found.join(open_, "folded", "left_semi"))
+    bucket = F.pmod(F.xxhash64("folded"), F.lit(max(1, -(-found.count() // BUCKET))))
+    return found.groupBy(bucket.alias("bucket")).applyInPandas(_match(wide), "token string, canonical string")
 
 
 def _dirty(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -209,39 +259,56 @@ def _dirty(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, names = [], []
         for i, text in zip(pdf["doc_id"], pdf["text"]):
             if text and not text.isascii():
-                for m in {x for x in _TOKEN.findall(text) if not x.isascii()}:
+                for m in {x for x in text.split() if not x.isascii()}:
                     ids.append(i)
                     names.append(m)
         yield pd.DataFrame({"doc_id": ids, "token": names})
 
 
 def _rewrite(text: str, own: dict[str, str]) -> str:
-    return "".join(own.get(x) or skeleton(x) for x in re.split(r"(\S+)", text))
+    return "".join(x if x.isascii() else own.get(x) or plain_form(x) for x in _PARTS.split(text))
 
 
-def _apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in frames:
-        out = []
-        for text, olds, news in zip(pdf["text"], pdf["olds"], pdf["news"]):
-            if text is None or text.isascii():
-                out.append(text)
+_PARTS = re.compile(r"(\S+)")
+
+
+def _apply(spelled=None):
+    """Texts rewritten with all spellings (a broadcast), or with each document's own in ``olds`` and ``news``."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            if spelled is not None:
+                owns = [spelled.value] * len(pdf)
             else:
-                out.append(_rewrite(text, dict(zip(olds, news)) if olds is not None else {}))
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": pdf["text"], "canonical": out})
+                owns = [{} if a is None else dict(zip(a, b)) for a, b in zip(pdf["olds"], pdf["news"])]
+            out = [text if text is None or text.isascii() else _rewrite(text, own) for text, own in zip(pdf["text"], owns)]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": pdf["text"], "canonical": out})
+
+    return run
+
+
+#: Spellings up to which they are broadcast (about 100 bytes each); above, documents are joined with their own.
+BROADCAST = 200_000
 
 
 def canonical_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text, canonical): every row of ``docs`` with its text in one form.
 
-    Null stays null and empty stays empty. Texts come out equal exactly if they
-    look the same: the canonical spelling of a token depends only on its
-    skeleton. A document's own list of rewritten tokens is bounded by its length.
+    Null stays null and empty stays empty. Tokens that look the same, character by
+    character, come out equal: either they reach a clean spelling, then the same, or
+    none of them does and the table gives them one form. A document's own
+    list of rewritten tokens is bounded by its length.
     """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    pairs = cut(own.mapInPandas(_dirty, f"doc_id {dict(own.dtypes)['doc_id']}, token string"))
-    listed = even_join(pairs, spellings(docs, text), "token").groupBy("doc_id").agg(F.collect_list("token").alias("olds"), F.collect_list("canonical").alias("news"))
     kind = dict(own.dtypes)["doc_id"]
-    return own.join(listed, "doc_id", "left").select("doc_id", "text", "olds", "news").mapInPandas(_apply, f"doc_id {kind}, text string, canonical string")
+    shape = f"doc_id {kind}, text string, canonical string"
+    known = cut(spellings(docs, text))
+    if known.count() <= BROADCAST:
+        found = docs.sparkSession.sparkContext.broadcast(dict(known.toPandas().itertuples(index=False, name=None)))
+        return own.mapInPandas(_apply(found), shape)
+    pairs = cut(own.mapInPandas(_dirty, f"doc_id {kind}, token string"))
+    listed = even_join(pairs, known, "token").groupBy("doc_id").agg(F.collect_list("token").alias("olds"), F.collect_list("canonical").alias("news"))
+    return own.join(listed, "doc_id", "left").select("doc_id", "text", "olds", "news").mapInPandas(_apply(), shape)
 
 
 #: Documents of one look-alike class that one task pairs up with all others of the class.

@@ -162,11 +162,19 @@ def test_leaks_against_brute_force(spark):
     assert L.leaks(a.limit(0), b).count() == 0 and L.leaks(a, b.limit(0)).count() == 0
 
 
-def test_leaks_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(L, "BROADCAST", 0)
+def test_leaks_with_a_full_bitmap(spark, monkeypatch):
+    monkeypatch.setattr(L, "MOST_BITS", 1 << 6)
     text = " ".join(f"w{i}" for i in range(15))
-    df = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
-    assert {tuple(r) for r in L.leaks(df, spark.createDataFrame([(7, text)], "item_id long, text string")).collect()} == {(1, 7, 4), (2, 7, 4)}
+    other = " ".join(f"v{i}" for i in range(300))
+    df = spark.createDataFrame([(1, text), (2, text), (3, other)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, text), (8, other[:700] + " end")], "item_id long, text string")
+    want = {(a, b, n) for (a, b), n in {(1, 7): 4, (2, 7): 4, (3, 8): len(L.words(other[:700])) - 12}.items()}
+    assert {tuple(r) for r in L.leaks(df, items).collect()} >= {w for w in want if w[1] == 7}
+    assert {(r[0], r[1]) for r in L.leaks(df, items).collect()} == {(a, b) for a, b, _ in want}
+
+
+def test_words_in_capitals_of_other_scripts():
+    assert L.words("НОВЫЙ МИР") == L.words("новый мир") and L.words("ΝΕΟΣ Κοσμος") == L.words("νεος ΚΟΣΜΟΣ") and L.words("Нello") == ["hello"]
 
 
 # Mixing.
@@ -266,6 +274,24 @@ def test_canonical_spellings_come_from_the_vocabulary(spark):
     assert got[2] == "kocмoc и сон" and G.skeleton(got[2]) == G.skeleton(rows[1][1])
 
 
+def test_the_vocabulary_decides_what_no_table_can(spark, monkeypatch):
+    rows = [(1, "сор is here"), (2, "cop is here"), (3, "мир и сон"), (4, "mαss of α"), (5, "mass of α"), (6, "а cat"), (7, "a cat"), (8, "ѕіх"), (9, "sіx")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r["doc_id"]: r["canonical"] for r in G.canonical_texts(docs).collect()}
+    assert got == {1: "cop is here", 2: "cop is here", 3: "мир и сон", 4: "mass of α", 5: "mass of α", 6: "a cat", 7: "a cat", 8: "ѕіх", 9: "ѕіх"}
+    pairs = lambda: {tuple(r) for r in G.look_alike_pairs(docs).collect()}
+    assert pairs() == {(1, 2), (4, 5), (6, 7), (8, 9)}
+    monkeypatch.setattr(G, "BROADCAST", -1)
+    assert pairs() == {(1, 2), (4, 5), (6, 7), (8, 9)}
+    monkeypatch.setattr(G, "spellings", lambda d, text: d.sparkSession.createDataFrame([], "token string, canonical string"))
+    assert pairs() == set()
+
+
+def test_wider_look_alikes(spark):
+    wide = G.confusables(spark)
+    assert len(wide) > 150 and wide["ո"] == "n" and wide["Ꭺ"] == "A" and all(c.isupper() == to.isupper() for c, to in wide.items())
+
+
 def test_trie_with_costs():
     t = G.Trie()
     for w, n in (("космос", 5), ("сон", 2), ("coн", 1)):
