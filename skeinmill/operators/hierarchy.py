@@ -1,7 +1,7 @@
 """Parent-child links of unknown depth: tops, depths, paths, descendants and cycles.
 
-Links are hashed to partitions of a bounded size. Each partition contracts its
-own parent chains: every node gets its fragment's exit, the first node on the
+Links are hashed to at least as many partitions as the session has cores, each of a
+bounded size. Each partition contracts its own parent chains: every node gets its fragment's exit, the first node on the
 way up that lives elsewhere. Nodes that other partitions exit to, with their
 own exits, form a smaller quotient forest, which is solved by the same steps
 until it fits one partition; then fragment paths are expanded again. Should
@@ -65,7 +65,8 @@ def _contract(with_way: bool):
 def _solve(links: DataFrame, with_way: bool, chunk: int, level: int) -> DataFrame:
     """Solved rows for unique ``links``: top is the last node on the way up or the least id of the cycle."""
     n = links.count()
-    parts = max(1, -(-n // chunk))
+    cores = links.sparkSession.sparkContext.defaultParallelism if level == 0 else 1
+    parts = max(1, -(-n // chunk), min(cores, n))
     local = links.repartition(parts, F.xxhash64(F.col("node"), F.lit(level)) if level else F.col("node"))
     pieces = cut(local.mapInPandas(_contract(with_way), _SOLVED))
     if parts == 1:
@@ -128,6 +129,13 @@ def parent_links(edges: DataFrame, child: str, parent: str) -> DataFrame:
     )
 
 
+def parent_conflicts(edges: DataFrame, child: str, parent: str) -> DataFrame:
+    """(node, parent, kept): every parent of the nodes that have more than one, and whether ``parent_links`` keeps it."""
+    pairs = edges.select(F.col(child).alias("node"), F.col(parent).alias("parent")).where(F.col("node").isNotNull() & F.col("parent").isNotNull()).distinct()
+    several = pairs.groupBy("node").agg(F.min("parent").alias("least"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    return pairs.join(several, "node").select("node", "parent", (F.col("parent") == F.col("least")).alias("kept"))
+
+
 def tops(links: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(node, top, endless) of every node that has a parent.
 
@@ -148,11 +156,14 @@ def hierarchy(nodes: DataFrame, node_id: str, links: DataFrame, chunk: int = CHU
     them. Nodes without links are their own top. An empty input gives no rows.
     """
     links = cut(links)
-    found = tops(links, chunk)
+    start = lambda df: cut(df.select("node", "parent", F.lit(1).cast("long").alias("steps"), F.col("node").alias("low"), F.array("node").alias("way")))
+    found = _solve(start(links), True, chunk, 0)
+    solved = found.where(~F.col("endless")).select("node", "top", "steps", "way")
+    # Only what runs into a cycle is solved again, with each cycle cut above its least id.
     endless = cut(found.where("endless").select("node", "top"))
-    forest = links.join(endless.where(F.col("node") == F.col("top")).select("node"), "node", "left_anti")
-    start = forest.select("node", "parent", F.lit(1).cast("long").alias("steps"), F.col("node").alias("low"), F.array("node").alias("way"))
-    solved = _solve(cut(start), True, chunk, 0).select("node", "top", "steps", "way")
+    if not endless.isEmpty():
+        below = links.join(endless.where(F.col("node") != F.col("top")).select("node"), "node", "left_semi")
+        solved = solved.unionByName(_solve(start(below), True, chunk, 0).select("node", "top", "steps", "way"))
     ids = nodes.select(F.col(node_id).alias("node")).union(links.select("node")).union(links.select("parent")).where(F.col("node").isNotNull()).distinct()
     marks = endless.select("node", F.lit(True).alias("endless"))
     return (

@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A key with more than one in so many references is hot; there are at most so many of them.
+from skeinmill.session import cut
+
+#: A key with more than one in so many references is hot; there are fewer of them.
 HOT_PARTS = 1000
 
 
@@ -47,35 +49,33 @@ def orphan_references(refs: DataFrame, lives: DataFrame) -> DataFrame:
     Distinct keys are settled first: references are pre-aggregated per key, so a
     hot key is one row here, and anti-joined against the parents' keys; keys that
     were live all the time drop out with all their references. Only doubtful
-    keys are joined back to the references; of them the hot ones, at most
-    2 x HOT_PARTS by their definition, are broadcast and the rest are shuffled.
+    keys are joined back to the references; of them the hot ones, fewer than
+    HOT_PARTS by their definition, are broadcast and the rest are shuffled.
     """
-    keys = refs.groupBy("ref").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"), F.max("at").alias("last"))
+    keys = cut(refs.groupBy("ref").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"), F.max("at").alias("last")))
+    total = keys.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    hot = [r["ref"] for r in keys.where(F.col("n") * HOT_PARTS > total).select("ref").collect()]
     open_from = F.min(F.when(F.col("died").isNull(), F.col("born")))
     parents = lives.groupBy("id").agg(F.min("born").alias("born"), open_from.alias("open_from"), F.max("died").alias("end"))
     missing = keys.join(parents, keys["ref"] == parents["id"], "left_anti").select(
-        "ref", "n", *[F.lit(None).cast(t).alias(c) for c, t in parents.dtypes if c != "id"], F.lit(True).alias("missing")
+        "ref", *[F.lit(None).cast(t).alias(c) for c, t in parents.dtypes if c != "id"], F.lit(True).alias("missing")
     )
     partly = (
         keys.join(parents, keys["ref"] == parents["id"])
         .where((F.col("first") < F.col("born")) | (F.col("open_from").isNull() & (F.col("last") >= F.col("born"))) | (F.col("first") < F.col("open_from")))
-        .select("ref", "n", "born", "open_from", "end", F.lit(False).alias("missing"))
+        .select("ref", "born", "open_from", "end", F.lit(False).alias("missing"))
     )
-    total = refs.agg(F.count(F.lit(1)).alias("total"))
-    doubtful = missing.unionByName(partly).join(F.broadcast(total), how="cross").withColumn("hot", F.col("n") * HOT_PARTS > F.col("total")).drop("total")
-    hot = doubtful.where("hot").drop("hot", "n")
-    cold = doubtful.where(~F.col("hot")).drop("hot", "n")
+    doubtful = cut(missing.unionByName(partly))
     # A hot key's references never reach the shuffled join, so that it stays even.
-    hot_keys = keys.join(F.broadcast(total), how="cross").where(F.col("n") * HOT_PARTS > F.col("total")).select("ref")
-    at_hot = refs.join(F.broadcast(hot), "ref")
-    at_cold = refs.join(F.broadcast(hot_keys), "ref", "left_anti").join(cold, "ref")
+    at_cold = refs.where(~F.col("ref").isin(hot)).join(doubtful.where(~F.col("ref").isin(hot)), "ref")
+    at_hot = refs.where(F.col("ref").isin(hot)).join(F.broadcast(doubtful.where(F.col("ref").isin(hot))), "ref")
     open_ = F.col("missing") | F.col("at").isNotNull() & (F.col("open_from").isNull() | (F.col("at") < F.col("open_from")))
-    doubts = at_hot.unionByName(at_cold).where(open_)
     settled = F.col("missing") | (F.col("at") < F.col("born")) | (F.col("open_from").isNull() & (F.col("at") >= F.col("end")))
+    doubts = cut((at_hot.unionByName(at_cold) if hot else at_cold).where(open_).withColumn("settled", settled))
     reason = F.when(F.col("missing"), "missing").when(F.col("at") < F.col("born"), "early").otherwise("gone")
     columns = ["record_id", "side", "ref", "at"]
-    sure = doubts.where(settled).select(*columns, reason.alias("reason"))
-    rest = doubts.where(~settled).select(*columns)
+    sure = doubts.where("settled").select(*columns, reason.alias("reason"))
+    rest = doubts.where(~F.col("settled")).select(*columns)
     spans = closed_spans(lives, parents)
     uncovered = rest.join(spans, (rest["ref"] == spans["id"]) & (rest["at"] >= spans["born"]) & (rest["at"] < spans["died"]), "left_anti")
     return sure.unionByName(uncovered.select(*columns, F.lit("gone").alias("reason")))

@@ -31,12 +31,20 @@ def p2_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return S.key_percentiles(rel.select("predicate", hours.alias("hours")), "predicate", "hours", [0.5, 0.9])
 
 
-def broader_links(spark: SparkSession, d: str) -> DataFrame:
-    """(node, parent): `broader` rows of relations with both ends in concepts."""
+def _broader(spark: SparkSession, d: str) -> DataFrame:
+    """(subject, object) of the `broader` rows of relations with both ends in concepts."""
     ids = table(spark, d, "concepts").where(F.col("id").isNotNull()).select("id").distinct()
     rows = table(spark, d, "relations").where(local_name(F.col("predicate")) == "broader").select("subject", "object").distinct()
-    sound = rows.join(ids.withColumnRenamed("id", "subject"), "subject", "left_semi").join(ids.withColumnRenamed("id", "object"), "object", "left_semi")
-    return H.parent_links(sound, "subject", "object")
+    return rows.join(ids.withColumnRenamed("id", "subject"), "subject", "left_semi").join(ids.withColumnRenamed("id", "object"), "object", "left_semi")
+
+
+def broader_links(spark: SparkSession, d: str) -> DataFrame:
+    return H.parent_links(_broader(spark, d), "subject", "object")
+
+
+def p4_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    """Concepts with several parents: which of them the hierarchy follows."""
+    return H.parent_conflicts(_broader(spark, d), "subject", "object").select(F.col("node").alias("concept_id"), F.col("parent").alias("parent_id"), "kept")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -66,7 +74,7 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return O.orphan_report(_orphans(spark, d), "relations")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_profiles, p2_percentiles, p4_found, p4_hierarchy, p4_descendants, p5_found, p5_report)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_profiles, p2_percentiles, p4_found, p4_hierarchy, p4_descendants, p4_conflicts, p5_found, p5_report)}
 
 _PAIRS = """pairs AS (
   SELECT 'subject' AS field_name, subject AS key_value, object FROM relations
@@ -117,6 +125,9 @@ SELECT p.node AS concept_id, p.here AS top_id, p.steps::BIGINT AS depth, array_t
 FROM paths p LEFT JOIN tops t ON t.node = p.node WHERE p.here NOT IN (SELECT node FROM forest)""",
     "p4_descendants": f"""WITH RECURSIVE {_TREE}
 SELECT here AS concept_id, node AS descendant_id, steps::BIGINT AS distance FROM paths WHERE steps > 0""",
+    "p4_conflicts": f"""WITH {_LINKS}
+SELECT b.node AS concept_id, b.parent AS parent_id, b.parent = l.parent AS kept FROM broader b JOIN links l USING (node)
+WHERE b.node IN (SELECT node FROM broader GROUP BY node HAVING count(*) > 1)""",
     "p5_found": f"WITH {_LIVES} SELECT record_id, side FROM orphans",
     "p5_report": f"""WITH {_LIVES}
 SELECT 'relations' AS table_name, side, strftime(seen, '%Y-%m') AS month,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -10,7 +13,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -31,20 +34,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably and cut its lineage.
 
-    Uses the shared folder named by ``spark.checkpoint.dir``. An unset folder is
-    an error: a machine-local one would not survive the loss of an executor.
+    Uses the shared folder named by ``spark.checkpoint.dir``. Where it is unset a
+    local session gets one of its own beside its warehouse, removed when the process
+    ends; on a cluster that is an error, as no executor could read another's.
     The result is planned with the size it has in that folder.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(folder or _own_folder(spark))
     return _measured(df.checkpoint(eager=True))
 
 
+def _own_folder(spark: SparkSession) -> str:
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').removeprefix('file:')}/checkpoints-{sc.applicationId}"
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def _measured(done: DataFrame) -> DataFrame:
     """A checkpointed frame with its measured size for an estimate, and no predicates carried on.
 
