@@ -12,6 +12,7 @@ of everything is spread over many tasks.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,29 +40,30 @@ def _encoding(ranks: bytes):
     return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
 
 
-#: Characters that are encoded at once; pieces are cut before a blank.
+#: Characters from which a text is encoded in pieces.
 _PIECE = 20_000
+#: The tokenizer's pattern never matches across the border between a drawn character and a blank.
+_BORDER = re.compile(r"(?<=\S)\s")
 
 
 def _pieces(text: str) -> Iterator[str]:
+    """Pieces of a text that are encoded alone as they are within it."""
     at = 0
     while at < len(text):
-        end = at + _PIECE
-        if end < len(text):
-            blank = text.find(" ", end)
-            end = blank if 0 <= blank < end + _PIECE else end
+        border = _BORDER.search(text, at + _PIECE)
+        end = border.start() if border else len(text)
         yield text[at:end]
         at = end
 
 
-def token_counts(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
+def token_counts(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", tokenizer: str | None = None) -> DataFrame:
     """(doc_id, source, n_tokens) of every document; null and empty texts have 0 tokens.
 
     The tokenizer's file (under 2 MB) is read once by the driver and broadcast, so
-    executors need no file. Very long texts are encoded in pieces, which keeps
-    the time linear.
+    executors need no file; ``spark.skeinmill.tokenizer`` names another for the session. Very
+    long texts are encoded in pieces, cut where the tokenizer splits them itself.
     """
-    with open(tokenizer, "rb") as f:
+    with open(tokenizer or docs.sparkSession.conf.get("spark.skeinmill.tokenizer", TOKENIZER), "rb") as f:
         ranks = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -137,7 +139,7 @@ def schedule(targets: DataFrame, n_slots: int, rows_per_slice: int = 20_000) ->
     return _sliced_totals(sliced, ["source"], "_slice", ["slot"], "one").select("slot", "source", F.col("before").alias("rank"))
 
 
-#: Sources that targets may name.
+#: Sources that targets may name: shares are cumulated in one window. A mix of more is no schedule but a sample.
 MAX_SOURCES = 10_000
 
 
@@ -151,7 +153,7 @@ def checked_targets(targets: DataFrame) -> DataFrame:
     return cut(good)
 
 
-def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, block: int = BLOCK, seed: int = 1, tokenizer: str = TOKENIZER) -> DataFrame:
+def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, block: int = BLOCK, seed: int = 1, tokenizer: str | None = None) -> DataFrame:
     """(slot, source, doc_id, repeat, token_from, token_to): the mix, in order of slot.
 
     ``total`` is the size aimed at, in tokens; without one, the tokens of all

@@ -43,6 +43,17 @@ def p6_survivors(spark: SparkSession, d: str) -> DataFrame:
     return V.survivors(table(spark, d, "entities"))
 
 
+def p6_undated(spark: SparkSession, d: str) -> DataFrame:
+    """The surviving values if every third row had lost its timestamp: there the learned order of values decides."""
+    rows = table(spark, d, "entities")
+    return V.survivors(rows.withColumn("ingested_at", F.when(F.col("record_id") % 3 != 0, F.col("ingested_at"))))
+
+
+def p6_order(spark: SparkSession, d: str) -> DataFrame:
+    """The learned precedence of values: the level of each value of each field."""
+    return V.levels(V.precedence(V.changes(V.cells(table(spark, d, "entities")))))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return L.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
 
@@ -72,7 +83,7 @@ def p9_canonical(spark: SparkSession, d: str) -> DataFrame:
     return G.canonical_texts(table(spark, d, "documents")).select("doc_id", "canonical")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_groups, p6_found, p6_survivors, p7_found, p7_items, p8_mix, p8_shares, p9_found, p9_canonical)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_groups, p6_found, p6_survivors, p6_undated, p6_order, p7_found, p7_items, p8_mix, p8_shares, p9_found, p9_canonical)}
 
 _FILLERS = "('', '-', '--', '?', 'n/a', 'n.a.', 'n/s', 'nil', 'none', 'not available', 'not given', 'not known', 'not stated', 'null', 'tbd', 'unknown', 'unspecified')"
 _GROUPS = f"""rows AS (
@@ -93,12 +104,59 @@ _VALUES = f"""WITH {_CELLS}, vals AS (
   SELECT id, field_name, trim(value) AS value, count(*) AS n, max(ingested_at) AS newest, arg_min(record_id, (-epoch_us(ingested_at), record_id)) AS record_id
   FROM cells WHERE id IS NOT NULL GROUP BY 1, 2, 3)"""
 
+_UNDATED = _CELLS.replace("FROM entities", "FROM dated")
+_ORDER = """steps AS (
+  SELECT field_name, trim(value) AS new, lag(trim(value)) OVER (PARTITION BY id, field_name ORDER BY ingested_at, trim(value)) AS old
+  FROM cells WHERE id IS NOT NULL AND ingested_at IS NOT NULL),
+votes AS (SELECT field_name, old, new, count(*) AS n FROM steps WHERE old <> new GROUP BY 1, 2, 3),
+ahead AS (
+  SELECT a.field_name, a.old, a.new FROM votes a LEFT JOIN votes b ON a.field_name = b.field_name AND a.old = b.new AND a.new = b.old
+  WHERE a.n >= 3 AND a.n >= 3 * coalesce(b.n, 0)),
+reach AS (SELECT * FROM ahead UNION SELECT r.field_name, r.old, a.new FROM reach r JOIN ahead a ON a.field_name = r.field_name AND a.old = r.new),
+behind AS (SELECT DISTINCT r.field_name, r.new AS value FROM reach r JOIN reach c ON c.field_name = r.field_name AND c.old = r.old AND c.new = c.old),
+ends AS (SELECT field_name, old AS value FROM ahead UNION SELECT field_name, new FROM ahead),
+walk AS (
+  SELECT field_name, value, 0 AS level FROM (SELECT * FROM ends EXCEPT SELECT * FROM behind)
+  UNION SELECT a.field_name, a.new, w.level + 1 FROM walk w JOIN ahead a ON a.field_name = w.field_name AND a.old = w.value
+  WHERE (a.field_name, a.new) NOT IN (SELECT (field_name, value) FROM behind)),
+levels AS (SELECT field_name, value, max(level) AS level FROM walk GROUP BY 1, 2)"""
+_CHOICE = """vals AS (
+  SELECT id, field_name, trim(value) AS value, count(*) AS n, count(ingested_at) AS n_timed, max(ingested_at) AS seen,
+    first(record_id ORDER BY ingested_at DESC NULLS LAST, record_id) AS record_id
+  FROM cells WHERE id IS NOT NULL GROUP BY 1, 2, 3),
+trends AS (
+  SELECT field_name,
+    sum(n) FILTER (try_cast(new AS DOUBLE) > try_cast(old AS DOUBLE)) AS up, sum(n) FILTER (try_cast(new AS DOUBLE) <> try_cast(old AS DOUBLE)) AS moved,
+    sum(n) FILTER (length(new) > length(old)) AS grown, sum(n) FILTER (length(new) <> length(old)) AS resized
+  FROM votes GROUP BY 1),
+leans AS (SELECT field_name, coalesce(up, 0) / moved AS greater, coalesce(grown, 0) / resized AS grows FROM trends),
+grouped AS (
+  SELECT *, bool_or(n_timed < n) OVER g AS is_open, max(seen) OVER g AS latest, (sum(n) OVER g)::BIGINT AS n_filled, count(*) OVER g AS n_values
+  FROM vals WINDOW g AS (PARTITION BY id, field_name)),
+running AS (
+  SELECT g.*, coalesce(l.level, -1) AS level, coalesce(
+    CASE WHEN t.greater >= 0.75 THEN try_cast(g.value AS DOUBLE) WHEN t.greater <= 0.25 THEN -try_cast(g.value AS DOUBLE) END,
+    CASE WHEN t.grows >= 0.75 THEN length(g.value)::DOUBLE WHEN t.grows <= 0.25 THEN -length(g.value)::DOUBLE END, 0.0) AS trend
+  FROM grouped g LEFT JOIN levels l ON l.field_name = g.field_name AND l.value = g.value LEFT JOIN leans t ON t.field_name = g.field_name
+  WHERE is_open AND (n_timed < n OR seen = latest)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY id, field_name ORDER BY level DESC, trend DESC, n DESC, length(value) DESC, value, record_id) AS k,
+    min(level) OVER (PARTITION BY id, field_name) AS low, min(trend) OVER (PARTITION BY id, field_name) AS flat FROM running),
+newest AS (
+  SELECT *, row_number() OVER (PARTITION BY id, field_name ORDER BY seen DESC, n DESC, length(value) DESC, value, record_id) AS k FROM grouped WHERE NOT is_open)"""
+
 SQL = {
     "p3_found": f"WITH RECURSIVE {_GROUPS} SELECT entity_id, group_id FROM groups WHERE group_id IN (SELECT group_id FROM groups GROUP BY 1 HAVING count(*) > 1)",
     "p3_groups": f"WITH RECURSIVE {_GROUPS} SELECT entity_id, group_id FROM groups",
     "p6_found": f"""WITH {_CELLS}
 SELECT id AS entity_id, field_name, min(record_id) AS record_id FROM cells
 WHERE id IN (SELECT id FROM entities GROUP BY id HAVING count(*) > 1) GROUP BY 1, 2 HAVING count(*) = 1""",
+    "p6_order": f"WITH RECURSIVE {_CELLS}, {_ORDER} SELECT field_name, value, level FROM levels",
+    "p6_undated": f"""WITH RECURSIVE dated AS (SELECT * REPLACE (CASE WHEN record_id % 3 <> 0 THEN ingested_at END AS ingested_at) FROM entities),
+{_UNDATED}, {_ORDER}, {_CHOICE}
+SELECT id AS entity_id, field_name, value, record_id, n_filled, n_values, 'time' AS basis FROM newest WHERE k = 1
+UNION ALL SELECT id, field_name, value, record_id, n_filled, n_values,
+  CASE WHEN level > low THEN 'order' WHEN trend > flat THEN 'trend' ELSE 'completeness' END FROM ranked WHERE k = 1""",
     "p6_survivors": f"""{_VALUES}
 SELECT id AS entity_id, field_name, value, record_id, n_filled::BIGINT AS n_filled, n_values, 'time' AS basis FROM (
   SELECT *, sum(n) OVER (PARTITION BY id, field_name) AS n_filled, count(*) OVER (PARTITION BY id, field_name) AS n_values,

@@ -96,7 +96,7 @@ def precedence(votes: DataFrame, support: int = 3, odds: float = 3.0) -> DataFra
 def trends(votes: DataFrame) -> DataFrame:
     """(field_name, greater, longer): shares of changes towards a greater number and towards a longer text."""
     old, new = F.expr("try_cast(old AS DOUBLE)"), F.expr("try_cast(new AS DOUBLE)")
-    share = lambda up, down: F.sum(F.when(up, F.col("n"))) / F.sum(F.when(up | down, F.col("n")))
+    share = lambda up, down: F.coalesce(F.sum(F.when(up, F.col("n"))), F.lit(0)) / F.sum(F.when(up | down, F.col("n")))
     return votes.groupBy("field_name").agg(
         share(new > old, new < old).alias("greater"),
         share(F.length("new") > F.length("old"), F.length("new") < F.length("old")).alias("longer"),

@@ -46,16 +46,15 @@ def brute_groups(links):
     return {x: find(x) for x in root}
 
 
-@pytest.mark.parametrize("few", [0, 10_000])
-def test_components_of_mixed_shapes(spark, few):
-    random.seed(few)
+def test_components_of_mixed_shapes(spark):
+    random.seed(4)
     p = [f"{i:04}" for i in range(900)]
     random.shuffle(p)
     links = [(p[i], p[i + 1]) for i in range(150)] + [(p[200], p[i]) for i in range(201, 300)] + [(p[300 + i], p[300 + (i + 1) % 60]) for i in range(60)]
     links += [(p[random.randrange(400, 600)], p[random.randrange(400, 600)]) for _ in range(400)] + [(p[random.randrange(600, 900)], p[random.randrange(600, 900)]) for _ in range(120)]
     links = [(a, b) for a, b in links if a != b]
     rows = links + [(b, a) for a, b in links[:50]] + [(None, "x"), ("y", "y"), ("z", None)]
-    got = {r["node"]: r["group_id"] for r in C.components(spark.createDataFrame(rows, "a string, b string"), chunk=40, few=few).collect()}
+    got = {r["node"]: r["group_id"] for r in C.components(spark.createDataFrame(rows, "a string, b string"), chunk=40).collect()}
     assert got == brute_groups(links)
 
 
@@ -219,6 +218,17 @@ def test_all_blocks_are_used_once_before_any_repeats(spark):
     assert sum(r["token_to"] - r["token_from"] for r in many) == 2 * n
 
 
+def test_pieces_hold_the_tokens_of_the_whole(monkeypatch):
+    random.seed(6)
+    with open(M.TOKENIZER, "rb") as f:
+        enc = M._encoding(f.read())
+    for _ in range(100):
+        text = "".join(random.choice(["ab", " ", "  ", "\n", "'s", "é", "1", "\t", "—", "x" * 30]) for _ in range(300))
+        monkeypatch.setattr(M, "_PIECE", random.choice([1, 5, 50]))
+        parts = list(M._pieces(text))
+        assert "".join(parts) == text and sum(len(enc.encode_ordinary(p)) for p in parts) == len(enc.encode_ordinary(text))
+
+
 def test_mix_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, source string, text string")
     targets = spark.createDataFrame([], "source string, target_share double, max_repeats int")
