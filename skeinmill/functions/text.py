@@ -140,8 +140,8 @@ def epoch_date(col: Column) -> Column:
 
 
 def bibtex_escaped(col: Column) -> Column:
-    """Text for a quoted BibTeX value."""
-    return F.replace(F.replace(F.replace(col, F.lit('"'), F.lit("'")), F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
+    """Text for a quoted BibTeX value: trimmed, on one line, its quotes escaped."""
+    return F.replace(F.translate(F.trim(col), "\r\n", "  "), F.lit('"'), F.lit('\\"'))
 
 
 def author_value(col: Column, corporate: list[str]) -> Column:

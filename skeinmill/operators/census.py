@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skeinmill.operators.skew import even_join
+from skeinmill.session import cut
+
 
 def class_census(entities: DataFrame, kind: str = "rdf_type") -> DataFrame:
     """(class, n): distinct ids per class; an id with several counts for the greatest (A1)."""
@@ -47,8 +50,8 @@ def predicate_census(relations: DataFrame, entities: DataFrame, kind: str = "typ
     types = entities.where(F.col("id").isNotNull()).groupBy("id").agg(F.max(kind).alias("t"))
     ends = relations.where(F.trim("predicate") != "").groupBy("predicate", "subject", "object").agg(F.count(F.lit(1)).alias("n"))
     a, b = types.select(F.col("id").alias("subject"), F.col("t").alias("domain")), types.select(F.col("id").alias("object"), F.col("t").alias("range"))
-    half = ends.join(a, "subject", "left").groupBy("predicate", F.coalesce("domain", F.lit("unknown")).alias("domain"), "object").agg(F.sum("n").alias("n"))
-    return half.join(b, "object", "left").groupBy("predicate", "domain", F.coalesce("range", F.lit("unknown")).alias("range")).agg(F.sum("n").alias("n"))
+    half = even_join(cut(ends), cut(a), "subject", "left").groupBy("predicate", F.coalesce("domain", F.lit("unknown")).alias("domain"), "object").agg(F.sum("n").alias("n"))
+    return even_join(cut(half), cut(b), "object", "left").groupBy("predicate", "domain", F.coalesce("range", F.lit("unknown")).alias("range")).agg(F.sum("n").alias("n"))
 
 
 def vocabulary(entities: DataFrame, relations: DataFrame) -> DataFrame:
@@ -64,8 +67,13 @@ def unknown_terms(asked: DataFrame, known: DataFrame) -> DataFrame:
     return asked.where(F.col("term").isNotNull()).distinct().join(known, "term", "left_anti")
 
 
-def schema_card(entities: DataFrame, relations: DataFrame, top: int = 20) -> str:
-    """The census as text for a prompt: classes and their ``top`` properties by frequency, predicates by domain and range."""
+def occurrence_counts(rows: DataFrame, kind: str, items) -> DataFrame:
+    """(kinds, items): how many different values of ``kind`` there are, and how many list items in all."""
+    return rows.agg(F.count_distinct(kind).alias("kinds"), F.coalesce(F.sum(F.size(F.coalesce(items, F.array().cast("array<string>")))), F.lit(0)).alias("items"))
+
+
+def schema_card(entities: DataFrame, relations: DataFrame, top: int = 20, most: int = 200) -> str:
+    """The census as text for a prompt: classes and their ``top`` properties by frequency, the ``most`` frequent predicates by domain and range."""
     props: dict[str, list] = {}
     ranked = property_census(entities).withColumn("k", F.row_number().over(Window.partitionBy("class").orderBy(F.desc("n"), "property"))).where(F.col("k") <= top)
     for r in ranked.orderBy("class", "k").collect():
@@ -77,6 +85,6 @@ def schema_card(entities: DataFrame, relations: DataFrame, top: int = 20) -> str
     for r in class_census(entities).orderBy(F.desc("n"), "class").collect():
         lines.append(f"- {r['class']}: {r['n']}; properties: {', '.join(props.get(r['class'], []))}; e.g. {'; '.join(names.get(r['class'], []))}")
     lines.append("Predicates:")
-    for r in predicate_census(relations, entities).orderBy(F.desc("n"), "predicate", "domain", "range").collect():
+    for r in predicate_census(relations, entities).orderBy(F.desc("n"), "predicate", "domain", "range").limit(most).collect():
         lines.append(f"- {r['predicate']}: {r['domain']} -> {r['range']} ({r['n']})")
     return "\n".join(lines)

@@ -62,11 +62,15 @@ def _graphs(base: str) -> Column:
     return F.explode_outer(F.transform(ids, lambda x: F.concat(F.lit("u" + base), percent_encoded(x))))
 
 
-def record_quads(records: DataFrame, namespaces: dict[str, str], only: str | None = None) -> DataFrame | None:
+def _graph(base: str, wanted: bool) -> list[Column]:
+    return [_graphs(base).alias("g")] if wanted else []
+
+
+def record_quads(records: DataFrame, namespaces: dict[str, str], only: str | None = None, graphs: bool = True) -> DataFrame | None:
     """Quads of entities, concepts or scopes: canonical id, type, name and every filled property, one pass over the table.
 
     With ``only``, an encoded predicate, those of that predicate alone, reading just
-    its column; None if no record can have it.
+    its column; None if no record can have it. Without ``graphs`` a row is not repeated for each of its sources.
     """
     ns = namespaces
     facts = {
@@ -77,17 +81,18 @@ def record_quads(records: DataFrame, namespaces: dict[str, str], only: str | Non
     if "properties" in records.columns:
         facts |= {ns["pkg"] + f.name: _literal(F.col("properties")[f.name], f.dataType) for f in records.schema["properties"].dataType.fields}
     own = records.where(F.col("id").isNotNull())
-    g, s = _graphs(ns["source"]).alias("g"), resource(F.col("id"), ns["resource"]).alias("s")
+    g, s = _graph(ns["source"], graphs), resource(F.col("id"), ns["resource"]).alias("s")
     if only is not None:
         if only[1:] not in facts:
             return None
         o = facts[only[1:]]
-        return own.where(o.isNotNull()).select(g, s, F.lit(only).alias("p"), o.alias("o"))
+        return own.where(o.isNotNull()).select(*g, s, F.lit(only).alias("p"), o.alias("o"))
     pairs = F.filter(F.array(*[F.struct(F.lit("u" + p).alias("p"), o.alias("o")) for p, o in facts.items()]), lambda x: x["o"].isNotNull())
-    return own.select(g, s, pairs.alias("facts")).select("g", "s", F.explode("facts").alias("x")).select("g", "s", "x.p", "x.o")
+    at = ["g", "s"] if graphs else ["s"]
+    return own.select(*g, s, pairs.alias("facts")).select(*at, F.explode("facts").alias("x")).select(*at, "x.p", "x.o")
 
 
-def edge_quads(relations: DataFrame, namespaces: dict[str, str], only: str | None = None) -> DataFrame | None:
+def edge_quads(relations: DataFrame, namespaces: dict[str, str], only: str | None = None, graphs: bool = True) -> DataFrame | None:
     """Quads of relations; edges with a null or blank end or predicate are none."""
     ns = namespaces
     base = "u" + ns["pkg"]
@@ -99,21 +104,21 @@ def edge_quads(relations: DataFrame, namespaces: dict[str, str], only: str | Non
             return None
         rows = rows.where(F.col("predicate") == only.removeprefix(base))
     return rows.select(
-        _graphs(ns["source"]).alias("g"),
+        *_graph(ns["source"], graphs),
         resource(F.col("subject"), ns["resource"]).alias("s"),
         F.concat(F.lit(base), F.col("predicate")).alias("p"),
         resource(F.col("object"), ns["resource"]).alias("o"),
     )
 
 
-def alias_quads(aliases: DataFrame, namespaces: dict[str, str], only: str | None = None) -> DataFrame | None:
+def alias_quads(aliases: DataFrame, namespaces: dict[str, str], only: str | None = None, graphs: bool = True) -> DataFrame | None:
     """Quads of aliases: alternate names of their entities."""
     ns = namespaces
     p = "u" + ns["schema"] + "alternateName"
     if only not in (None, p):
         return None
     return aliases.where((F.col("alias") != "") & (F.col("entity_id") != "")).select(
-        _graphs(ns["source"]).alias("g"),
+        *_graph(ns["source"], graphs),
         resource(F.col("entity_id"), ns["resource"]).alias("s"),
         F.lit(p).alias("p"),
         F.concat(F.lit("s"), F.col("alias")).alias("o"),
@@ -132,9 +137,9 @@ class RecordGraph(Dataset):
     def quads(self) -> DataFrame:
         return self._union(None)
 
-    def _union(self, only: str | None) -> DataFrame | None:
+    def _union(self, only: str | None, graphs: bool = True) -> DataFrame | None:
         records, relations, aliases = self.tables
-        parts = [edge_quads(relations, self.ns, only), alias_quads(aliases, self.ns, only), *[record_quads(t, self.ns, only) for t in records]]
+        parts = [edge_quads(relations, self.ns, only, graphs), alias_quads(aliases, self.ns, only, graphs), *[record_quads(t, self.ns, only, graphs) for t in records]]
         parts = [p for p in parts if p is not None]
         return reduce(DataFrame.unionByName, parts) if parts else None
 
@@ -142,6 +147,10 @@ class RecordGraph(Dataset):
         rows = self._union(p)
         return self.spark.createDataFrame([], "g string, s string, p string, o string") if rows is None else rows
 
+    def triples(self, p: str | None = None) -> DataFrame:
+        rows = self._union(p, False)
+        return self.spark.createDataFrame([], "s string, p string, o string") if rows is None else rows
+
 
 def quads(records: list[DataFrame], relations: DataFrame, aliases: DataFrame, namespaces: dict[str, str] | None = None) -> DataFrame:
     """(g, s, p, o) of the whole graph."""

@@ -19,24 +19,32 @@ def merged(rows: DataFrame, key: str = "id", order: list[str] = ("ingested_at",
     Everything but the list of references is a maximum or minimum by ``order``, so
     partial aggregation takes the load off hot keys. Rows without a key drop out.
     """
-    at = _order(list(order))
+    at, split = _order(list(order)), False
     aggs = []
     for f in rows.schema.fields:
         if f.name in (key, properties, refs):
             continue
         aggs.append(F.min_by(F.col(f.name), at).alias(f.name))
-    if properties in rows.columns:
+    if properties in rows.columns:  # A struct has a fixed number of members, a map any.
         kind = rows.schema[properties].dataType
         if isinstance(kind, T.StructType):
             last = lambda c: F.max_by(c, F.when(c.isNotNull(), at))
             aggs.append(F.struct(*[last(F.col(properties)[m.name]).alias(m.name) for m in kind.fields]).alias(properties))
         else:
-            folded = F.array_sort(F.collect_list(F.struct(at.alias("o"), F.map_entries(properties).alias("e"))))
-            entries = F.flatten(F.transform(folded, lambda x: x["e"]))
-            aggs.append(F.map_from_entries(entries).alias(properties))
+            split = True
     if refs in rows.columns:
         aggs.append(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.coalesce(refs, F.array()))))).alias(refs))
-    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs).select(*rows.columns)
+    out = rows.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    if split:
+        out = out.join(_last_entries(rows, key, at, properties), key, "left").withColumn(properties, F.coalesce(properties, F.create_map().cast(rows.schema[properties].dataType)))
+    return out.select(*rows.columns)
+
+
+def _last_entries(rows: DataFrame, key: str, at: Column, properties: str) -> DataFrame:
+    """Per key a map of the last value of each property; entries are grouped by key and property first, so a hot key spreads."""
+    entries = rows.where(F.col(key).isNotNull()).select(key, at.alias("_at"), F.explode(properties).alias("_k", "_v")).where(F.col("_v").isNotNull())
+    last = entries.groupBy(key, "_k").agg(F.max_by("_v", "_at").alias("_v"))
+    return last.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_k", "_v")))).alias(properties))
 
 
 def retracted(rows: DataFrame, source_ids: list[str], refs: str = "source_refs", prefix: bool = False) -> DataFrame:

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from skeinmill.functions import text as X
 
@@ -143,6 +142,85 @@ def edge_plan(desired: DataFrame, current: DataFrame, on: list[str]) -> DataFram
     return a.join(b, on, "left_anti").withColumn("action", F.lit("add")).unionByName(b.join(a, on, "left_anti").withColumn("action", F.lit("remove")))
 
 
+def relation_plan(desired: DataFrame, managed: DataFrame, index: DataFrame, current: DataFrame) -> DataFrame:
+    """(subject, property, target, action): what makes the store's relations those of the graph.
+
+    ``desired`` has subject, property and object by canonical id, ``managed`` the
+    (subject, property) pairs that the graph rules even where it has no target, ``index``
+    canonical_id and object_id, ``current`` object_id, property and target by object id. A target without
+    an object is ``unresolved``, by its canonical id; where the subject has none, its edges wait as ``no subject``.
+    Only managed or desired properties lose targets.
+    """
+    ids = index.groupBy("canonical_id").agg(F.min("object_id").alias("object_id"))
+    side = lambda c, o: ids.select(F.col("canonical_id").alias(c), F.col("object_id").alias(o))
+    want = desired.select("subject", "property", "object").distinct().join(side("subject", "_s"), "subject", "left").join(side("object", "_o"), "object", "left")
+    have = current.select("object_id", "property", F.col("target").alias("_o")).distinct().join(ids, "object_id").select(F.col("canonical_id").alias("subject"), "property", "_o")
+    rules = managed.select("subject", "property").union(desired.select("subject", "property")).distinct()
+    sound = want.where(F.col("_s").isNotNull() & F.col("_o").isNotNull()).select("subject", "property", "_o")
+    plan = lambda df, target, action: df.select("subject", "property", F.col(target).alias("target"), F.lit(action).alias("action"))
+    return (
+        plan(sound.join(have, ["subject", "property", "_o"], "left_anti"), "_o", "add")
+        .unionByName(plan(have.join(rules, ["subject", "property"], "left_semi").join(sound, ["subject", "property", "_o"], "left_anti"), "_o", "remove"))
+        .unionByName(plan(want.where(F.col("_s").isNotNull() & F.col("_o").isNull()), "object", "unresolved"))
+        .unionByName(plan(want.where(F.col("_s").isNull()), "object", "no subject"))
+    )
+
+
+def guide_bookmarks(items: DataFrame, bookmarks: DataFrame) -> DataFrame:
+    """(guide, url, bookmark_id): each guide's links with the bookmark that has the same trimmed url (J12), null if none has.
+
+    ``items`` has guide and url, ``bookmarks`` url, id and archived; of several live bookmarks the least id counts.
+    """
+    url = lambda c: F.nullif(F.trim(c), F.lit(""))
+    live = bookmarks.where(~F.coalesce("archived", F.lit(False))).groupBy(url("url").alias("url")).agg(F.min("id").alias("bookmark_id"))
+    return items.select("guide", url("url").alias("url")).where(F.col("url").isNotNull()).distinct().join(live, "url", "left").select("guide", "url", "bookmark_id")
+
+
+def page_plan(desired: DataFrame, live: DataFrame) -> DataFrame:
+    """(name, page_id, reasons): why each guide's page has to be written, "" if it needn't be.
+
+    Both have name, markdown, tags and related (lists), ``live`` an id too. Pages meet
+    by exact trimmed name, of several the least id; lists are compared as sets.
+    """
+    one = live.groupBy(F.trim("name").alias("name")).agg(F.min(F.struct("id", "markdown", "tags", "related")).alias("p"))
+    both = desired.withColumn("name", F.trim("name")).join(one, "name", "left")
+    differs = [
+        F.when(~same_text(F.col("markdown"), F.col("p.markdown")), F.lit("markdown")), F.when(~same_set(F.col("tags"), F.col("p.tags")), F.lit("tags")),
+        F.when(~same_set(F.col("related"), F.col("p.related")), F.lit("related_bookmarks")),
+    ]
+    why = F.when(F.col("p").isNull(), F.array(F.lit("new"))).otherwise(F.filter(F.array(*differs), lambda x: x.isNotNull()))
+    return both.select("name", F.col("p.id").alias("page_id"), F.array_join(why, ",").alias("reasons"))
+
+
+def archive_plan(pages: DataFrame, prefixes: list[str]) -> DataFrame:
+    """(id, name, action): live pages whose name begins with one of ``prefixes``, to be archived."""
+    named = reduce(lambda x, y: x | y, [F.col("name").startswith(p) for p in prefixes])
+    return pages.where(named & ~F.coalesce("archived", F.lit(False))).select("id", "name", F.lit("archive").alias("action"))
+
+
+def first_rows(rows: DataFrame, order: list[str], n: int | None) -> DataFrame:
+    """The first ``n`` rows by ``order``, or all: a trial run's limit."""
+    return rows if n is None else rows.orderBy(*order).limit(n)
+
+
+def member_positions(relations: DataFrame, predicate: str = "contains") -> DataFrame:
+    """(scope, position, member): the sorted distinct members of each scope (A26), as rows, so that a scope may have any number."""
+    from skeinmill.operators.skew import running_totals
+
+    pairs = relations.where((F.col("predicate") == predicate) & (F.col("subject") != "") & (F.col("object") != "")).select(F.col("subject").alias("scope"), F.col("object").alias("member")).distinct()
+    placed = running_totals(pairs.withColumn("one", F.lit(1)), ["scope"], ["member"], "one")
+    return placed.select("scope", (F.col("before") + 1).alias("position"), "member")
+
+
+def manifest(records: DataFrame, relations: DataFrame) -> dict[str, DataFrame]:
+    """The whole projection (G9): objects, relations, collections with their sorted members, and the list view of each collection."""
+    members = member_positions(relations)
+    return {
+        "objects": objects(records), "relations": relation_targets(relations), "collections": members,
+        "list_views": members.select(F.col("scope").alias("subject"), F.lit("list_view").alias("property"), F.col("member").alias("object")),
+    }
+
+
 def found_missing(wanted: DataFrame, live: DataFrame, key: str) -> DataFrame:
     """(found, missing): how many wanted keys the store has (J21); rows without a key count as neither."""
     keys = wanted.where(F.trim(key) != "").select(key).distinct()
@@ -205,13 +283,3 @@ def pull_edges(live: DataFrame, id_map: DataFrame, known: DataFrame) -> DataFram
     lost = linked.where(F.col("object").isNull()).withColumn("action", F.lit("unresolved"))
     new = linked.where(F.col("object").isNotNull()).join(known.select("subject", "predicate", "object").distinct(), ["subject", "predicate", "object"], "left_anti")
     return new.withColumn("action", F.lit("add")).unionByName(lost)
-
-
-def property_types(profile_rows: DataFrame) -> T.StructType:
-    """Spark types of a profile's properties, by format."""
-    kinds = {"number": T.DoubleType(), "checkbox": T.BooleanType(), "date": T.DateType(), "multi_select": T.ArrayType(T.StringType()), "files": T.ArrayType(T.StringType()), "objects": T.ArrayType(T.StringType())}
-    return T.StructType([T.StructField(r["property_key"], kinds.get(r["format"], T.StringType())) for r in profile_rows.select("property_key", "format").distinct().orderBy("property_key").collect()])
-
-
-def ranked_first(rows: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
-    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= n)

@@ -61,22 +61,37 @@ def best_records(papers: DataFrame, score: Column, identity: Column, key: str =
     return rows.groupBy("identity").agg(F.max(F.struct("score", "id")).alias("b"), F.count(F.lit(1)).alias("n")).select("identity", F.col("b.id").alias("id"), "n")
 
 
-def bounded_authors(papers: DataFrame, authors: str, key: str = "id", count: str | None = None, full_up_to: int = 20, first: int = 5, exclude: str = r"(?i)\scollaboration$", always_first: Column | None = None) -> DataFrame:
+def bounded_authors(papers: DataFrame, authors: str, key: str = "id", count: str | None = None, full_up_to: int = 20, first: int = 5, exclude: str = r"(?i)\scollaboration$", always_first: Column | None = None, without: Column | None = None) -> DataFrame:
     """(id, position, author): the first distinct authors of a ``;`` list.
 
     All of them where ``count`` is known and at most ``full_up_to``, else ``first``.
-    Corporate names and empty items are no authors; ``always_first`` marks the one
-    that is listed before all others.
+    Corporate names and empty items are no authors, nor is who ``without`` marks; ``always_first``
+    marks the one that is listed before all others.
     """
     names = F.filter(X.split_list(F.col(authors)), lambda a: ~a.rlike(exclude))
     rows = papers.select(F.col(key).alias("id"), *([F.col(count).alias("_n")] if count else [F.lit(None).cast("bigint").alias("_n")]), F.posexplode(names).alias("_pos", "author"))
     rows = rows.withColumn("author", X.given_first(F.col("author"))).groupBy("id", "author").agg(F.min("_pos").alias("_pos"), F.max("_n").alias("_n"))
+    if without is not None:
+        rows = rows.where(~F.coalesce(without, F.lit(False)))
     front = F.when(always_first, 0).otherwise(1) if always_first is not None else F.lit(0)
     rows = rows.withColumn("position", F.row_number().over(Window.partitionBy("id").orderBy(front, "_pos")))
     limit = F.when(F.col("_n").between(0, full_up_to), F.lit(2**31 - 1)).otherwise(F.lit(first))
     return rows.where(F.col("position") <= limit).select("id", "position", "author")
 
 
+def is_researcher(name: Column, surname: str, given: list[str]) -> Column:
+    """Whether a cited name, in either order, is the researcher's: the surname with one of the given forms."""
+    key = X.name_key(X.given_first(name))
+    return F.coalesce(key.isin(*[f"{g} {surname}".lower() for g in given]), F.lit(False))
+
+
+def author_edges(authors: DataFrame, source_id: str) -> DataFrame:
+    """Derived edges from papers (id) to their bounded authors (author), as canonical relations."""
+    person = F.concat(F.lit("person:name:"), X.slug(F.col("author")))
+    rows = authors.select(F.col("id").alias("subject"), F.lit("authored_by").alias("predicate"), person.alias("object")).distinct()
+    return rows.select(X.digest_id("relation:", F.col("subject"), F.col("predicate"), F.col("object")).alias("id"), "subject", "predicate", "object", F.lit(source_id).alias("source_id"))
+
+
 def author_position(names: Column, aliases: list[str]) -> Column:
     """1-based place of the first author with one of ``aliases``, null if absent."""
     known = [a.lower() for a in aliases]

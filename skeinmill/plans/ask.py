@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from skeinmill.operators import census
 from skeinmill.operators.graph import NAMESPACES
+from skeinmill.session import cut
 from skeinmill.sparql import Dataset, SparqlError, parse
 from skeinmill.sparql.compiler import rows, solutions
 from skeinmill.sparql.parser import iris
@@ -39,8 +40,8 @@ def problems(query: str, vocabulary: set[str], namespaces: dict[str, str] = NAME
     return [f"unknown term {i.removeprefix(own)}" for i in sorted(used) if i.startswith(own) and i.removeprefix(own) not in vocabulary]
 
 
-def ask(question: str, data: Dataset, entities: DataFrame, relations: DataFrame, llm: Callable[[list[dict]], str], *, examples: list[tuple[str, str]] = (), max_repairs: int = 2, execute: bool = True, namespaces: dict[str, str] = NAMESPACES) -> dict:
-    """The report of a question: query, attempts, row_count and rows.
+def ask(question: str, data: Dataset, entities: DataFrame, relations: DataFrame, llm: Callable[[list[dict]], str], *, examples: list[tuple[str, str]] = (), max_repairs: int = 2, show: int = 1_000, execute: bool = True, namespaces: dict[str, str] = NAMESPACES) -> dict:
+    """The report of a question: query, attempts, row_count and the first ``show`` rows.
 
     A query that fails validation is sent back at most ``max_repairs`` times. One
     without rows is sent back once if none was before; a second one without rows
@@ -68,9 +69,10 @@ def ask(question: str, data: Dataset, entities: DataFrame, relations: DataFrame,
         report = {"question": question, "query": query, "attempts": attempts, "executed": execute, "row_count": 0, "rows": []}
         if not execute:
             return report
-        found = rows(solutions(data, query, namespaces))
+        answered = cut(solutions(data, query, namespaces))
+        n, found = answered.count(), rows(answered, show)
         if not found and not repairs:
             repairs += 1
             messages += [{"role": "assistant", "content": answer}, {"role": "user", "content": "The query gives no rows. Check names and predicates."}]
             continue
-        return report | {"row_count": len(found), "rows": found}
+        return report | {"row_count": n, "rows": found}

@@ -59,13 +59,55 @@ def retract_source(spark, d):
     return M.retracted(table(spark, d, "entities"), ["ads:"], prefix=True).select("id", "record_id", F.size("source_refs").cast("bigint").alias("n_left"))
 
 
-@_query("SELECT count(*) AS rows_before, count(DISTINCT id) AS rows_after, true AS changed FROM entities")
+_MOST = "most AS (SELECT s FROM (SELECT unnest(source_refs).source_id AS s FROM aliases) WHERE s IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, s LIMIT 1)"
+
+
+def _most_cited(rows):
+    """The source that most records refer to."""
+    refs = rows.select(F.explode("source_refs").alias("r")).select("r.source_id").where(F.col("source_id").isNotNull())
+    return refs.groupBy("source_id").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "source_id").first()["source_id"]
+
+
+@_query(f"""WITH {_MOST}, refs AS (SELECT record_id, unnest(source_refs).source_id AS r FROM aliases),
+kept AS (SELECT record_id FROM refs WHERE r IS NULL OR r <> (SELECT s FROM most)), again AS (SELECT record_id FROM refs WHERE r = (SELECT s FROM most) AND record_id % 2 = 0)
+SELECT (SELECT count(*) FROM aliases) AS rows_before, (SELECT count(*) FROM (SELECT record_id FROM kept UNION SELECT record_id FROM again)) AS rows_after, true AS changed""")
 def merge_source_report(spark, d):
-    rows = table(spark, d, "entities").withColumn("source_refs", F.array(F.struct(F.lit("x").alias("source_id"), F.lit(None).cast("string").alias("citation_key"), F.lit(None).cast("string").alias("source_url"))))
-    _, report = M.merge_source(rows, rows.limit(0), ["gone"])
+    """The commonest source is ingested again, with every second of its records."""
+    rows = table(spark, d, "aliases").withColumn("source_refs", F.coalesce("source_refs", F.array().cast(table(spark, d, "aliases").schema["source_refs"].dataType)))
+    most = _most_cited(rows)
+    own = F.filter("source_refs", lambda r: F.coalesce(r["source_id"] == most, F.lit(False)))
+    again = rows.where((F.size(own) > 0) & (F.col("record_id") % 2 == 0)).withColumn("source_refs", own)
+    _, report = M.merge_source(rows, again, [most], key="record_id")
     return report.select(F.col("before").alias("rows_before"), F.col("after").alias("rows_after"), "changed")
 
 
+@_query("""WITH e AS (SELECT id, ingested_at, record_id, unnest(map_entries(identifiers)) AS x FROM entities)
+SELECT id, x.key AS kind, arg_max(x.value, (epoch_us(ingested_at), record_id)) AS value FROM e WHERE x.value IS NOT NULL GROUP BY 1, 2""")
+def merge_map_properties(spark, d):
+    """Of each id the last value of each identifier, merged as a map."""
+    rows = table(spark, d, "entities").select("id", "record_id", "ingested_at", "identifiers", "source_refs")
+    return M.merged(rows, properties="identifiers").select("id", F.explode("identifiers").alias("kind", "value"))
+
+
+@_query(r"""WITH one AS (SELECT record_id, 'k' || regexp_replace(lower(properties.citation_key), '[^a-z0-9]', '', 'g') AS key, properties.publication_year AS y, nullif(trim(regexp_replace(properties.journal, '[^A-Za-z0-9 .]', '', 'g')), '') AS j
+  FROM entities WHERE type = 'Paper' AND regexp_replace(lower(properties.citation_key), '[^a-z0-9]', '', 'g') <> '')
+SELECT 'paper:bibtex:' || key AS id, arg_max(y, record_id) FILTER (y > 0)::VARCHAR AS year, arg_max(regexp_replace(j, '\s+', ' ', 'g'), record_id) FILTER (j IS NOT NULL) AS journal FROM one GROUP BY 1""")
+def bibtex_batch_merge(spark, d):
+    """One BibTeX document of all papers, in which keys recur: the last value of each field stands."""
+    from skeinmill.sources.builders import from_bibtex
+    from skeinmill.sources.documents import bibtex
+
+    p = lambda k: F.col("properties")[k]
+    key = F.regexp_replace(F.lower(p("citation_key")), "[^a-z0-9]", "")
+    journal = F.nullif(F.trim(F.regexp_replace(p("journal"), "[^A-Za-z0-9 .]", "")), F.lit(""))
+    year = F.when(p("publication_year") > 0, F.concat(F.lit(", year = {"), p("publication_year").cast("string"), F.lit("}")))
+    rows = table(spark, d, "entities").where((F.col("type") == "Paper") & (key != ""))
+    text = F.concat(F.lit("@article{k"), key, F.coalesce(year, F.lit("")), F.coalesce(F.concat(F.lit(", journal = {"), journal, F.lit("}")), F.lit("")), F.lit("}"))
+    entries = bibtex(rows.select(F.col("record_id").alias("_doc"), text.alias("text")), "_doc")
+    found = from_bibtex(entries, "bib:all")["entities"]
+    return found.select("id", F.try_element_at("properties", F.lit("publication_year")).alias("year"), F.try_element_at("properties", F.lit("journal")).alias("journal"))
+
+
 @_query("SELECT DISTINCT id FROM concepts WHERE id IN (SELECT object FROM relations)")
 def append_conflicts(spark, d):
     return M.conflicts(table(spark, d, "relations").select(F.col("object").alias("id")), table(spark, d, "concepts")).select("id").distinct()
@@ -97,6 +139,21 @@ def unique_title_match(spark, d):
     return R.unique_title_matches(rows.where(F.col("type") == "Paper"), rows.where(F.col("type") == "Paper"))
 
 
+@_query(r"""WITH lists AS (SELECT id, properties.author_count AS n, string_split(properties.author_list, ';') AS l FROM entities WHERE type = 'Paper' AND properties.author_list IS NOT NULL),
+clean AS (SELECT id, n, pos, trim(a) AS a FROM (SELECT id, n, unnest(l) AS a, generate_subscripts(l, 1) AS pos FROM lists) WHERE trim(a) <> '' AND NOT regexp_matches(trim(a), '(?i)\scollaboration$')),
+one AS (SELECT id, author, min(pos) AS pos, max(n) AS n FROM (SELECT *, CASE WHEN contains(a, ',') THEN trim(concat_ws(' ', trim(substr(a, instr(a, ',') + 1)), trim(split_part(a, ',', 1)))) ELSE a END AS author FROM clean) GROUP BY 1, 2)
+SELECT id, count(*) FILTER (k <= CASE WHEN n BETWEEN 0 AND 20 THEN 2000000000 ELSE 5 END) AS n_people FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos) AS k FROM one) GROUP BY 1""")
+def author_reconciliation(spark, d):
+    """How many bounded authors each paper gets, as reconciled edges are counted before names become ids."""
+    papers = table(spark, d, "entities").where((F.col("type") == "Paper") & F.col("properties.author_list").isNotNull())
+    return R.bounded_authors(papers, "properties.author_list", "id", "properties.author_count").groupBy("id").agg(F.count(F.lit(1)).alias("n_people"))
+
+
+@_query(r"""SELECT record_id, coalesce(lower(CASE WHEN contains(name_as_cited, ',') THEN trim(concat_ws(' ', trim(substr(name_as_cited, instr(name_as_cited, ',') + 1)), trim(split_part(name_as_cited, ',', 1)))) ELSE trim(name_as_cited) END) IN ('wei gayuvadruk', 'w. gayuvadruk'), false) AS own FROM entities""")
+def researcher_predicate(spark, d):
+    return table(spark, d, "entities").select("record_id", R.is_researcher(F.col("name_as_cited"), "Gayuvadruk", ["Wei", "W."]).alias("own"))
+
+
 @_query(f"""WITH {_IDS}, score AS (SELECT id, record_id, coalesce(cardinality(identifiers), 0) AS s FROM entities WHERE type = 'Paper'),
 key AS (SELECT s.*, coalesce('doi:' || (SELECT min(v) FROM ids i WHERE i.record_id = s.record_id AND k = 'doi'), 'arxiv:' || (SELECT min(v) FROM ids i WHERE i.record_id = s.record_id AND k = 'arxiv'), id) AS identity FROM score s)
 SELECT identity, arg_max(id, (s, id)) AS id, count(*) AS n FROM key GROUP BY 1""")
@@ -123,13 +180,14 @@ def corporate_reconciliation(spark, d):
     return R.corporate_edges(papers, flag, "institution:name:survey", "derived:corporate")
 
 
-@_query("""WITH w AS (SELECT o_orderkey, o_orderpriority || '; ' || o_orderstatus || ';Second Name' AS l FROM orders)
-SELECT o_orderkey, CASE WHEN l LIKE '1-URGENT%' THEN 1 WHEN l LIKE '%; F;%' THEN 2 END::INT AS position, CASE WHEN l LIKE '1-URGENT%' OR l LIKE '%; F;%' THEN 'core' ELSE 'collab' END AS class FROM w""")
+@_query("""WITH w AS (SELECT o_orderkey, o_orderstatus, o_orderpriority || '; ' || o_orderstatus || ';Second Name' AS l FROM orders)
+SELECT o_orderkey, CASE WHEN l LIKE '1-URGENT%' THEN 1 WHEN l LIKE '%; F;%' THEN 2 END::INT AS position,
+  CASE WHEN o_orderstatus = 'O' THEN 'personal' WHEN l LIKE '1-URGENT%' OR l LIKE '%; F;%' THEN 'core' ELSE 'collab' END AS class FROM w""")
 def researcher_position(spark, d):
     names = F.concat("o_orderpriority", F.lit("; "), "o_orderstatus", F.lit(";Second Name"))
     at = R.author_position(names, ["f", "1-urgent"])
     rows = table(spark, d, "orders")
-    return rows.select("o_orderkey", at.cast("int").alias("position"), R.researcher_class(F.lit(True), at).alias("class"))
+    return rows.select("o_orderkey", at.cast("int").alias("position"), R.researcher_class(F.col("o_orderstatus") != "O", at).alias("class"))
 
 
 # Census.
@@ -276,29 +334,30 @@ def fanout_audit(spark, d):
     return P.fan_out(table(spark, d, "relations"))
 
 
-@_query("""SELECT p_type AS type_key, p_brand AS property_key, CASE WHEN max(p_size) IS NULL THEN 'create' WHEN max(p_size) > 45 THEN 'rename' ELSE 'unchanged' END AS action FROM part GROUP BY 1, 2""")
+@_query("""SELECT p_type AS type_key, p_brand AS property_key, CASE WHEN min(p_size) > 20 THEN 'create' WHEN max(p_size) > 45 THEN 'rename' ELSE 'unchanged' END AS action FROM part GROUP BY 1, 2""")
 def schema_diff(spark, d):
-    want = table(spark, d, "part").groupBy(F.col("p_type").alias("type_key"), F.col("p_brand").alias("property_key")).agg(F.max("p_size").alias("m"))
-    live = want.select("type_key", "property_key", F.when(F.col("m") > 45, "text").otherwise("number").alias("format"))
+    want = table(spark, d, "part").groupBy(F.col("p_type").alias("type_key"), F.col("p_brand").alias("property_key")).agg(F.max("p_size").alias("m"), F.min("p_size").alias("least"))
+    live = want.where(F.col("least") <= 20).select("type_key", "property_key", F.when(F.col("m") > 45, "text").otherwise("number").alias("format"))
     return P.schema_plan(want.withColumn("format", F.lit("number")), live)
 
 
-_LIVE = "live AS (SELECT DISTINCT subject, predicate, object FROM relations WHERE subject <> '' AND object <> '' AND predicate IN ('about', 'broader', 'presented_by'))"
+_LIVE = f"live AS (SELECT DISTINCT subject, predicate, object FROM relations WHERE subject <> '' AND object <> '' AND {_RELS} IS NOT NULL)"
 
 
 def _pull(spark, d):
-    rel = table(spark, d, "relations").where((F.col("subject") != "") & (F.col("object") != "") & F.col("predicate").isin("about", "broader", "presented_by"))
-    live = rel.select(F.col("subject").alias("object_id"), P.mapped(F.col("predicate"), P.RELATION_PROPERTIES).alias("property"), F.col("object").alias("target"))
-    ids = _records(spark, d).select(F.col("id").alias("object_id"), "id").distinct()
+    """The store holds all projected edges under ids of its own; the graph lacks a fifth of them."""
+    rel = table(spark, d, "relations").where((F.col("subject") != "") & (F.col("object") != "") & P.mapped(F.col("predicate"), P.RELATION_PROPERTIES).isNotNull())
+    live = rel.select(F.sha1("subject").alias("object_id"), P.mapped(F.col("predicate"), P.RELATION_PROPERTIES).alias("property"), F.sha1("object").alias("target"))
+    ids = _records(spark, d).select(F.sha1("id").alias("object_id"), "id").where(F.col("id").isNotNull()).distinct()
     return P.pull_edges(live, ids, rel.where(F.length("object") % 5 != 0))
 
 
-@_query(f"WITH {_ALL}, {_LIVE} SELECT subject, predicate, object FROM live WHERE subject IN (SELECT id FROM records) AND object IN (SELECT id FROM records) AND length(object) % 5 = 0")
+@_query(f"WITH {_ALL}, {_LIVE} SELECT subject, predicate, object FROM live WHERE subject IN (SELECT id FROM records WHERE id IS NOT NULL) AND object IN (SELECT id FROM records WHERE id IS NOT NULL) AND length(object) % 5 = 0")
 def pull_new_edges(spark, d):
     return _pull(spark, d).where(F.col("action") == "add").select("subject", "predicate", "object")
 
 
-@_query(f"WITH {_ALL}, {_LIVE} SELECT subject, predicate, object AS target FROM live WHERE subject IN (SELECT id FROM records) AND object NOT IN (SELECT id FROM records)")
+@_query(f"WITH {_ALL}, {_LIVE} SELECT subject, predicate, sha1(object) AS target FROM live WHERE subject IN (SELECT id FROM records WHERE id IS NOT NULL) AND object NOT IN (SELECT id FROM records WHERE id IS NOT NULL)")
 def pull_unresolved(spark, d):
     return _pull(spark, d).where(F.col("action") == "unresolved").select("subject", "predicate", "target")
 
@@ -310,6 +369,87 @@ def concept_adoption(spark, d):
     return P.adopted_concepts(live, table(spark, d, "concepts"))
 
 
+@_query(f"""WITH e AS (SELECT DISTINCT subject, {_RELS} AS property, object FROM relations WHERE {_RELS} IS NOT NULL),
+live AS (SELECT DISTINCT id FROM entities WHERE length(id) % 7 <> 0 UNION SELECT id FROM concepts WHERE length(id) % 7 <> 0),
+have AS (SELECT DISTINCT subject, {_RELS} AS property, object FROM relations WHERE {_RELS} IS NOT NULL AND record_id % 3 <> 0 UNION SELECT DISTINCT object, 'scopes', object FROM relations WHERE predicate = 'about' AND object IS NOT NULL),
+rules AS (SELECT DISTINCT subject, property FROM e UNION SELECT id, 'scopes' FROM concepts WHERE id IS NOT NULL),
+known AS (SELECT * FROM have WHERE subject IN (SELECT id FROM live)),
+sound AS (SELECT * FROM e WHERE subject IN (SELECT id FROM live) AND object IN (SELECT id FROM live))
+SELECT subject, property, sha1(object) AS target, 'add' AS action FROM (SELECT * FROM sound EXCEPT SELECT * FROM known)
+UNION ALL SELECT subject, property, sha1(object), 'remove' FROM (SELECT known.* FROM known SEMI JOIN rules USING (subject, property) EXCEPT SELECT * FROM sound)
+UNION ALL SELECT subject, property, object, 'unresolved' FROM e WHERE subject IN (SELECT id FROM live) AND (object IS NULL OR object NOT IN (SELECT id FROM live WHERE id IS NOT NULL))
+UNION ALL SELECT subject, property, object, 'no subject' FROM e WHERE subject IS NULL OR subject NOT IN (SELECT id FROM live WHERE id IS NOT NULL)""")
+def relation_plan(spark, d):
+    """The store holds two thirds of the edges, stale scopes of concepts, and lacks some objects."""
+    rel = table(spark, d, "relations")
+    want = P.relation_targets(rel)
+    ids = table(spark, d, "entities").select("id").union(table(spark, d, "concepts").select("id")).where(F.length("id") % 7 != 0).distinct()
+    index = ids.select(F.col("id").alias("canonical_id"), F.sha1("id").alias("object_id"))
+    have = P.relation_targets(rel.where(F.col("record_id") % 3 != 0)).unionByName(rel.where((F.col("predicate") == "about") & F.col("object").isNotNull()).select(F.col("object").alias("subject"), F.lit("scopes").alias("property"), "object").distinct())
+    current = have.select(F.sha1("subject").alias("object_id"), "property", F.sha1("object").alias("target"))
+    managed = table(spark, d, "concepts").where(F.col("id").isNotNull()).select(F.col("id").alias("subject"), F.lit("scopes").alias("property"))
+    return P.relation_plan(want, managed, index, current)
+
+
+@_query("""WITH marks AS (SELECT trim(id) AS url, min(record_id) AS bookmark_id FROM entities WHERE retracted_at IS NULL AND trim(id) <> '' GROUP BY 1)
+SELECT DISTINCT doc_kind AS guide, trim(entity_id) AS url, bookmark_id FROM documents LEFT JOIN marks ON url = trim(entity_id) WHERE trim(entity_id) <> ''""")
+def guide_bookmarks(spark, d):
+    items = table(spark, d, "documents").select(F.col("doc_kind").alias("guide"), F.col("entity_id").alias("url"))
+    marks = table(spark, d, "entities").select(F.col("id").alias("url"), F.col("record_id").alias("id"), F.col("retracted_at").isNotNull().alias("archived"))
+    return P.guide_bookmarks(items, marks)
+
+
+@_query("""WITH want AS (SELECT n_name AS name, n_nationkey AS k, (SELECT list(DISTINCT c_mktsegment) FROM customer WHERE c_nationkey = n_nationkey) AS tags, (SELECT list(DISTINCT s_name) FROM supplier WHERE s_nationkey = n_nationkey) AS related FROM nation),
+live AS (SELECT name, k, (SELECT list(DISTINCT c_mktsegment) FROM customer WHERE c_nationkey = k AND (k % 2 = 0 OR c_mktsegment <> 'BUILDING')) AS tags, (SELECT list(DISTINCT s_name) FROM supplier WHERE s_nationkey = k AND (k % 3 > 0 OR s_suppkey % 2 = 0)) AS related FROM want WHERE k % 5 <> 0)
+SELECT w.name, l.k AS page_id, CASE WHEN l.k IS NULL THEN 'new' ELSE concat_ws(',', CASE WHEN w.k % 4 = 1 THEN 'markdown' END, CASE WHEN list_sort(coalesce(w.tags, [])) <> list_sort(coalesce(l.tags, [])) THEN 'tags' END,
+  CASE WHEN list_sort(coalesce(w.related, [])) <> list_sort(coalesce(l.related, [])) THEN 'related_bookmarks' END) END AS reasons FROM want w LEFT JOIN live l ON l.name = w.name""")
+def guide_page_plan(spark, d):
+    def pages(segments, suppliers, markdown):
+        tags = segments.groupBy(F.col("c_nationkey").alias("id")).agg(F.collect_set("c_mktsegment").alias("tags"))
+        related = suppliers.groupBy(F.col("s_nationkey").alias("id")).agg(F.collect_set("s_name").alias("related"))
+        rows = table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), "n_name", markdown.alias("markdown"))
+        return rows.join(tags, "id", "left").join(related, "id", "left").withColumnRenamed("n_name", "name")
+
+    customers, suppliers = table(spark, d, "customer"), table(spark, d, "supplier")
+    want = pages(customers, suppliers, F.concat(F.lit("# "), "n_name"))
+    live = pages(
+        customers.where((F.col("c_nationkey") % 2 == 0) | (F.col("c_mktsegment") != "BUILDING")), suppliers.where((F.col("s_nationkey") % 3 > 0) | (F.col("s_suppkey") % 2 == 0)),
+        F.when(F.col("n_nationkey") % 4 == 1, "old").otherwise(F.concat(F.lit("# "), "n_name", F.lit(" "))),
+    ).where(F.col("id") % 5 != 0)
+    return P.page_plan(want.drop("id"), live)
+
+
+@_query("SELECT record_id AS id, name, 'archive' AS action FROM entities WHERE (name LIKE 'On %' OR name LIKE 'Late%') AND retracted_at IS NULL")
+def archive_plan(spark, d):
+    rows = table(spark, d, "entities").select(F.col("record_id").alias("id"), "name", F.col("retracted_at").isNotNull().alias("archived"))
+    return P.archive_plan(rows, ["On ", "Late"])
+
+
+@_query("SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 50")
+def first_rows(spark, d):
+    return P.first_rows(table(spark, d, "documents"), ["doc_id"], 50).select("doc_id", "lang")
+
+
+@_query("SELECT scope, row_number() OVER (PARTITION BY scope ORDER BY member) AS position, member FROM (SELECT DISTINCT subject AS scope, object AS member FROM relations WHERE predicate = 'contains' AND subject <> '' AND object <> '')")
+def scope_member_positions(spark, d):
+    return P.member_positions(table(spark, d, "relations"))
+
+
+@_query(f"""WITH e AS (SELECT DISTINCT subject, {_RELS} AS property, object FROM relations WHERE {_RELS} IS NOT NULL)
+SELECT 'relations' AS part, count(*) AS n FROM e UNION ALL SELECT 'list_views', count(*) FROM (SELECT DISTINCT subject, object FROM relations WHERE predicate = 'contains' AND subject <> '' AND object <> '')
+UNION ALL SELECT 'collections', count(*) FROM (SELECT DISTINCT subject, object FROM relations WHERE predicate = 'contains' AND subject <> '' AND object <> '')
+UNION ALL SELECT 'objects', count(DISTINCT id) FROM entities WHERE id IS NOT NULL AND {_KEYS} IS NOT NULL""")
+def manifest_sizes(spark, d):
+    parts = P.manifest(table(spark, d, "entities"), table(spark, d, "relations"))
+    counted = [(parts[p] if p != "objects" else parts[p].select("canonical_id").distinct()).agg(F.count(F.lit(1)).alias("n")).select(F.lit(p).alias("part"), "n") for p in ("relations", "list_views", "collections", "objects")]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(counted[3])
+
+
+@_query("SELECT count(DISTINCT properties.journal) AS kinds, sum(len(list_filter(string_split(properties.author_list, ';'), lambda x: trim(x) <> '')))::BIGINT AS items FROM entities")
+def occurrence_counts(spark, d):
+    return C.occurrence_counts(table(spark, d, "entities"), "properties.journal", X.split_list(F.col("properties.author_list")))
+
+
 # Topics.
 
 
@@ -395,14 +535,20 @@ def tag_vocabulary_lookup(spark, d):
     return T.tag_keys(tags, "c_custkey", "tags", vocabulary)
 
 
-@_query()
+@_query(f"""WITH topics AS (SELECT {_topic_sql('lower(text)')} AS topic, coalesce(source, 'misc') AS sub, doc_id::VARCHAR AS title, coalesce(entity_id, '-') AS url, doc_kind AS summary FROM documents WHERE text IS NOT NULL),
+big AS (SELECT topic, trim(regexp_replace(lower(topic), '[^a-z0-9]+', '-', 'g'), '-') AS slug, count(*) AS n FROM topics GROUP BY 1 HAVING count(*) >= 2),
+sizes AS (SELECT topic, sub, '1|' || lpad((1000000000 - count(*))::VARCHAR, 10, '0') || '|' || lower(sub) AS part FROM topics GROUP BY 1, 2)
+SELECT topic, slug, '0' AS part, '# ' || topic || ' (' || n || ')' AS line FROM big
+UNION ALL SELECT topic, slug, part, '## ' || sub FROM sizes JOIN big USING (topic)
+UNION ALL SELECT t.topic, slug, part || '|' || lower(title), '- [' || title || '](' || url || ')' || coalesce(': ' || nullif(trim(summary), ''), '')
+  FROM topics t JOIN sizes s ON s.topic = t.topic AND s.sub = t.sub JOIN big b ON b.topic = t.topic""")
 def guide_sections(spark, d):
     docs = table(spark, d, "documents").where(F.col("text").isNotNull())
     rows = docs.select(T.topic(F.col("text")).alias("topic"), F.coalesce("source", F.lit("misc")).alias("sub"), F.col("doc_id").cast("string").alias("title"), F.coalesce("entity_id", F.lit("-")).alias("url"), F.col("doc_kind").alias("summary"))
     return T.guides(rows, "topic", "sub", "title", "url", "summary")
 
 
-@_query()
+@_query("SELECT event_id, event_type, upper(event_type) AS label, NULL::VARCHAR AS ask_error FROM events")
 def batch_positional_join(spark, d):
     return T.in_batches(table(spark, d, "events").select("event_id", "event_type"), lambda rows: [{"label": r["event_type"].upper()} for r in rows], "label string")
 
@@ -427,9 +573,10 @@ def cache_keys(spark, d):
     return rows.select("url", X.cache_key(F.col("url")).alias("key"))
 
 
-@_query(r"""SELECT record_id, coalesce(nullif(trim(regexp_replace(lower(trim(alias)), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'misc') AS slug FROM aliases WHERE alias IS NOT NULL AND regexp_full_match(alias, '[\x00-\x7f]*')""")
+# Where the two differ outside ASCII (the Kelvin sign and dotted I in lower case) no alias has such letters.
+@_query(r"""SELECT record_id, coalesce(nullif(trim(regexp_replace(lower(trim(alias)), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'misc') AS slug FROM aliases WHERE alias IS NOT NULL""")
 def slug_text(spark, d):
-    rows = table(spark, d, "aliases").where(F.col("alias").rlike(r"^[\x00-\x7f]*$"))
+    rows = table(spark, d, "aliases").where(F.col("alias").isNotNull())
     return rows.select("record_id", X.plain_slug(F.col("alias")).alias("slug"))
 
 
@@ -466,9 +613,9 @@ def epoch_to_date(spark, d):
     return table(spark, d, "events").select("event_id", X.epoch_date(F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")).alias("day"))
 
 
-@_query(r"SELECT record_id, CASE WHEN regexp_full_match(trim(alias), '\d+') THEN TRY_CAST(trim(alias) AS BIGINT) END AS n FROM aliases WHERE alias IS NOT NULL AND NOT regexp_matches(alias, '[^\x00-\x7f]')")
+@_query(r"SELECT record_id, CASE WHEN regexp_full_match(trim(alias), '\d+') THEN TRY_CAST(trim(alias) AS BIGINT) END AS n FROM aliases WHERE alias IS NOT NULL")
 def guarded_int_cast(spark, d):
-    rows = table(spark, d, "aliases").where(F.col("alias").isNotNull() & ~F.col("alias").rlike(r"[^\x00-\x7f]"))
+    rows = table(spark, d, "aliases").where(F.col("alias").isNotNull())
     return rows.select("record_id", X.guarded_int(F.col("alias")).alias("n"))
 
 

@@ -116,6 +116,53 @@ _case(
 WHERE n >= 0 AND y > 0 GROUP BY 1 HAVING avg(n) > 2""",
     y="bigint", mean="double", most="bigint", sum="bigint",
 )
+_case(
+    "literal_object",
+    'SELECT ?id WHERE { ?s schema:name "National Laboratory" ; pkg:canonical_id ?id }',
+    f"{_W} SELECT id FROM names WHERE name = 'National Laboratory'",
+)
+_case("select_all", "SELECT * WHERE { ?paper pkg:corporate_authored_by ?org }", f"""{_W} SELECT '{_R}' || url_encode(subject) AS paper, '{_R}' || url_encode(object) AS org FROM edges WHERE predicate = 'corporate_authored_by'""")
+_case(
+    "numeric_functions",
+    "SELECT DISTINCT ?id ?a ?c ?r WHERE { ?s pkg:citation_count ?n ; pkg:canonical_id ?id BIND(ABS(?n - 100) AS ?a) BIND(CEIL(?n / 7) AS ?c) BIND(ROUND(?n / 4) AS ?r) FILTER(?n >= 0) }",
+    f"{_W} SELECT DISTINCT id, abs(n - 100)::DOUBLE AS a, ceil(n / 7)::DOUBLE AS c, floor(n / 4 + 0.5)::DOUBLE AS r FROM cited WHERE n >= 0",
+    a="double", c="double", r="double",
+)
+_case(
+    "hash_functions",
+    "SELECT DISTINCT ?id ?m ?h ?k WHERE { ?s a skos:Concept ; pkg:canonical_id ?id ; schema:name ?n BIND(MD5(?n) AS ?m) BIND(SHA256(?n) AS ?h) BIND(SHA1(?n) AS ?k) }",
+    f"{_W} SELECT DISTINCT t.id, md5(n.name) AS m, sha256(n.name) AS h, sha1(n.name) AS k FROM types t JOIN names n USING (id) WHERE rdf_type = 'skos:Concept'",
+)
+_case(
+    "term_tests",
+    "SELECT ?id (COUNT(?x) AS ?n) (MIN(?l) AS ?least) WHERE { ?s a schema:Event ; pkg:canonical_id ?id ; ?p ?x BIND(STR(?x) AS ?l) FILTER(isIRI(?x) && ?p IN (pkg:about, pkg:presented_by, rdf:type) || isLITERAL(?x) && sameTerm(?p, schema:name)) } GROUP BY ?id",
+    f"""{_W} SELECT t.id, count(*) AS n, min(l) AS least FROM (SELECT DISTINCT id FROM types WHERE rdf_type = 'schema:Event') t JOIN (
+  SELECT id, name AS l FROM names UNION ALL SELECT subject, '{_R}' || url_encode(object) FROM edges WHERE predicate IN ('about', 'presented_by')
+  UNION ALL SELECT id, CASE split_part(rdf_type, ':', 1) {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in NAMESPACES.items())} END || split_part(rdf_type, ':', 2) FROM types) x ON x.id = t.id GROUP BY 1""",
+    n="bigint",
+)
+_case(
+    "path_optional",
+    "SELECT ?id ?o WHERE { ?s a schema:Event ; pkg:canonical_id ?id ; pkg:about? ?o }",
+    f"""{_W}, ev AS (SELECT DISTINCT id FROM types WHERE rdf_type = 'schema:Event') SELECT id, '{_R}' || url_encode(id) AS o FROM ev UNION SELECT id, '{_R}' || url_encode(object) FROM ev JOIN edges ON subject = id AND predicate = 'about'""",
+)
+_case(
+    "path_any_length",
+    "SELECT DISTINCT ?id ?top WHERE { ?s a skos:Concept ; pkg:canonical_id ?id ; pkg:broader* ?t . ?t pkg:canonical_id ?top }",
+    f"""WITH RECURSIVE {_NAMES}, {_EDGES}, {_TYPES}, up AS (SELECT DISTINCT id AS s, id AS o FROM types WHERE rdf_type = 'skos:Concept' UNION SELECT u.s, e.object FROM up u JOIN edges e ON e.subject = u.o AND e.predicate = 'broader')
+SELECT DISTINCT s AS id, o AS top FROM up WHERE o IN (SELECT id FROM entities UNION SELECT id FROM concepts UNION SELECT id FROM scopes)""",
+)
+_case(
+    "path_negated",
+    "SELECT ?o (COUNT(?s) AS ?n) WHERE { ?s !(pkg:about|pkg:canonical_id|schema:name|schema:alternateName|rdf:type|pkg:authored_by) ?o . ?o a schema:Event } GROUP BY ?o",
+    f"""{_W} SELECT '{_R}' || url_encode(object) AS o, count(*) AS n FROM (SELECT DISTINCT subject, object FROM edges WHERE predicate NOT IN ('about', 'authored_by')) JOIN (SELECT DISTINCT id FROM types WHERE rdf_type = 'schema:Event') ON id = object GROUP BY 1""",
+    n="bigint",
+)
+_case(
+    "optional_then_join",
+    "SELECT ?n ?t WHERE { ?s a schema:Event OPTIONAL { ?s pkg:canonical_id ?id } ?t pkg:canonical_id ?id . OPTIONAL { ?t schema:name ?n } }",
+    f"""{_W} SELECT n.name AS n, '{_R}' || url_encode(t.id) AS t FROM (SELECT DISTINCT id FROM types WHERE rdf_type = 'schema:Event') t LEFT JOIN names n ON n.id = t.id""",
+)
 _case(
     "order_limit_offset",
     "SELECT ?n ?id WHERE { ?s a schema:Organization ; schema:name ?n ; pkg:canonical_id ?id } ORDER BY DESC(STRLEN(?n)) ?n ?id LIMIT 25 OFFSET 5",

@@ -32,31 +32,44 @@ def write_json_lines(rows: DataFrame, path: str) -> None:
 
 
 def write_if_changed(rows: DataFrame, path: str, dry_run: bool = False) -> bool:
-    """Replaces a Parquet table if its rows differ, by writing beside it and renaming (K2); tells whether they did."""
+    """Replaces a Parquet table if its rows differ (K2); tells whether they did.
+
+    The new table is written beside the old one, which is renamed aside before and
+    deleted after the new one has its place: at any moment one of both is whole,
+    and a table that was left aside is put back by the next call.
+    """
     spark = rows.sparkSession
     hadoop = spark._jvm.org.apache.hadoop.fs
-    here, side = hadoop.Path(path), hadoop.Path(path.rstrip("/") + ".new")
+    here, side, aside = (hadoop.Path(path.rstrip("/") + end) for end in ("", ".new", ".old"))
     fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(aside) and not fs.exists(here):
+        fs.rename(aside, here)
     if fs.exists(here):
         old, new = fingerprint(spark.read.parquet(path)).first(), fingerprint(rows).first()
         if old == new:
             return False
     if not dry_run:
         rows.write.mode("overwrite").parquet(side.toString())
-        fs.delete(here, True)
+        fs.delete(aside, True)
+        if fs.exists(here):
+            fs.rename(here, aside)
         fs.rename(side, here)
+        fs.delete(aside, True)
     return True
 
 
 def write_trig(quads: DataFrame, path: str) -> dict:
     """TriG files and how many triples and named graphs they hold (K3)."""
-    trig_lines(quads).repartition("g").select("line").write.mode("overwrite").text(path)
+    trig_lines(quads).select("line").write.mode("overwrite").text(path)
     return quad_counts(quads).first().asDict()
 
 
-def bibtex_entries(papers: DataFrame, markers: list[str], prefix: str, aliases: list[str], series: str) -> DataFrame:
+def bibtex_entries(papers: DataFrame, markers: list[str], prefix: str, aliases: list[str], series: str, relations: DataFrame | None = None, institution: str | None = None) -> DataFrame:
     """(citation_key, category, entry) of papers (K4): deduplicated by identity, classed, rendered.
 
+    With ``relations`` a paper is corporate by its edge to ``institution`` or by its collaboration,
+    without them by its authors or title.
+
     The best record of an identity fills most properties and identifiers, of
     equals the one with the greater id. A repeated citation key is an error.
     """
@@ -66,11 +79,18 @@ def bibtex_entries(papers: DataFrame, markers: list[str], prefix: str, aliases:
     filled = F.size(F.filter(F.array(*[p(m) for m in members]), lambda x: x.isNotNull())) if members else F.size("properties")
     best = R.best_records(papers, filled + F.size(F.coalesce("identifiers", F.create_map().cast("map<string,string>"))), R.paper_identity())
     rows = papers.join(best.select("id"), "id").dropDuplicates(["id"])
-    corporate = R.is_corporate(F.col("name"), have("author_list"), markers, prefix)
+    if relations is None:
+        corporate = R.is_corporate(F.col("name"), have("author_list"), markers, prefix)
+    else:
+        edges = relations.where((F.col("predicate") == "corporate_authored_by") & (F.col("object") == institution)).select(F.col("subject").alias("id")).distinct()
+        rows = rows.join(edges.withColumn("_edge", F.lit(True)), "id", "left").withColumn("_edge", F.coalesce("_edge", F.lit(False)))
+        corporate = F.col("_edge") | F.coalesce(F.lower(F.trim(have("collaboration"))).isin(*[m.lower() for m in markers]), F.lit(False))
     category = R.researcher_class(corporate, R.author_position(have("author_list"), aliases))
     ref_key = F.get(F.filter(F.transform("source_refs", lambda r: r["citation_key"]), lambda x: x.isNotNull() & (x != "")), F.lit(0))
-    key = F.coalesce(have("citation_key"), ref_key, F.concat(F.lit("paper_"), F.regexp_replace("id", "[^A-Za-z0-9]+", "_")))
     get = lambda k: F.nullif(F.try_element_at("identifiers", F.lit(k)), F.lit(""))
+    raw = F.regexp_replace(F.coalesce(get("arxiv"), get("doi"), F.col("id")), "[^A-Za-z0-9]+", "_")
+    given = lambda c: F.nullif(F.trim(c), F.lit(""))
+    key = F.coalesce(given(have("citation_key")), given(ref_key), F.concat(F.lit("paper_"), F.regexp_replace(raw, "^_+|_+$", "")))
     field = lambda name, value: F.when(value.isNotNull(), F.concat(F.lit(f'  {name} = "'), X.bibtex_escaped(value), F.lit('"')))
     rows = rows.select("*", key.alias("citation_key"), category.alias("category"))
     fields = [

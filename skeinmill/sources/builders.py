@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skeinmill.functions import text as X
+from skeinmill.operators.merge import merged
 from skeinmill.operators.resolve import bounded_authors
 
 ENTITY = ("id", "type", "rdf_type", "name", "identifiers", "properties", "source_refs")
@@ -27,9 +28,11 @@ def props(**values: Column) -> Column:
 
 
 def entity(rows: DataFrame, id_: Column, kind: str, name: Column, identifiers: Column, properties: Column, ref: Column) -> DataFrame:
-    out = rows.select(id_.alias("id"), F.lit(kind).alias("type"), F.lit(CLASSES[kind]).alias("rdf_type"), name.alias("name"), identifiers.alias("identifiers"), properties.alias("properties"), ref.alias("source_refs"))
-    # Records repeated within a batch merge by id: the first by name stands, references unite.
-    return out.where(F.col("id").isNotNull()).groupBy("id").agg(*[F.min_by(c, F.struct(F.coalesce("name", F.lit("")), F.to_json("properties"))).alias(c) for c in ENTITY[1:-1]], F.array_sort(F.array_distinct(F.flatten(F.collect_set("source_refs")))).alias("source_refs"))
+    pos = F.struct(*[F.col(c) for c in rows.columns if c in ("_doc", "pos")], F.lit(0).alias("_"))
+    out = rows.select(pos.alias("_pos"), id_.alias("id"), F.lit(kind).alias("type"), F.lit(CLASSES[kind]).alias("rdf_type"), name.alias("name"), identifiers.alias("identifiers"), properties.alias("properties"), ref.alias("source_refs"))
+    # Records repeated within a batch merge by id: the first stands, the last value of each property wins, references unite.
+    out = out.withColumn("_tie", F.to_json("properties"))
+    return merged(out, "id", ["_pos", "name", "_tie"]).select(*ENTITY)
 
 
 def edge(rows: DataFrame, s: Column, predicate: str, o: Column, ref: Column) -> DataFrame:
@@ -85,8 +88,8 @@ def from_bibtex(entries: DataFrame, source_id: str, source_url: str | None = Non
         pages=f("pages"), primary_class=f("primaryclass"), source_url=f("url"),
     )
     clean = F.regexp_replace(f("title"), "[{}]", "")
-    authors = rows.select("paper", "ref", F.explode(X.split_authors(f("author"))).alias("cited"))
-    authors = authors.select("paper", "ref", "cited", X.given_first(F.col("cited")).alias("person"))
+    authors = rows.select("paper", "ref", *[c for c in ("_doc", "pos") if c in rows.columns], F.explode(X.split_authors(f("author"))).alias("cited"))
+    authors = authors.select("*", X.given_first(F.col("cited")).alias("person"))
     groups = rows.where(f("collaboration").isNotNull()).select("paper", "ref", X.with_suffix(f("collaboration")).alias("group"))
     topics = rows.where(f("primaryclass").isNotNull()).select("paper", "ref", f("primaryclass").alias("topic"))
     group_id, topic_id = F.concat(F.lit("institution:name:"), X.slug(F.col("group"))), F.concat(F.lit("concept:arxiv:"), X.slug(F.col("topic")))

@@ -9,6 +9,7 @@ along shared variables, and joins on variables that may be unbound accept null.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,10 @@ class Dataset:
         """The quads of one encoded predicate."""
         return self.quads.where(F.col("p") == p)
 
+    def triples(self, p: str | None = None) -> DataFrame:
+        """(s, p, o) of the default graph, of one encoded predicate or all; rows may repeat."""
+        return (self.quads if p is None else self.with_predicate(p)).select("s", "p", "o")
+
     def scoped(self, graphs: list[str], named: list[str]) -> Dataset:
         only = [*graphs, *named]
         return Dataset(self.quads.where(F.col("g").isin(*["u" + g for g in only]))) if only else self
@@ -63,6 +68,31 @@ class Compiler:
             on = on & same
         return on
 
+    def _meet(self, a: Frame, b: Frame, shared: list[str], right: DataFrame, how: str, extra: Column | None = None) -> DataFrame:
+        """``a`` joined with ``right`` (the columns of ``b`` set aside) on compatible values of ``shared``.
+
+        A variable that is always bound makes an equi-join. Where none is, rows with all
+        of them bound are joined by equality, and only the others, if there are any, with everything.
+        """
+        on = lambda: self._condition(a, b, shared) if extra is None else self._condition(a, b, shared) & extra
+        loose = a.maybe | b.maybe
+        if not shared or not set(shared) <= loose:
+            return a.df.join(right, on(), how)
+        bound = lambda names: reduce(lambda x, y: x & y, [F.col(n).isNotNull() for n in names])
+        left, right = cut(a.df), cut(right)
+        mine, other = bound(shared), bound([f"_r_{n}" for n in shared])
+        open_right = not set(shared).isdisjoint(b.maybe) and not right.where(~other).isEmpty()
+        open_left = not set(shared).isdisjoint(a.maybe) and not left.where(~mine).isEmpty()
+        if open_right and how != "inner":
+            return left.join(right, on(), how)
+        equal = reduce(lambda x, y: x & y, [F.col(n) == F.col(f"_r_{n}") for n in shared])
+        out = left.where(mine).join(right.where(other) if open_right else right, equal if extra is None else equal & extra, how)
+        if open_left:
+            out = out.unionByName(left.where(~mine).join(right, on(), how))
+        if open_right:
+            out = out.unionByName(left.where(mine).join(right.where(~other), on(), how))
+        return out
+
     @staticmethod
     def _aside(b: Frame, shared: list[str]) -> DataFrame:
         return b.df.select(*[F.col(n).alias(f"_r_{n}" if n in shared else n) for n in b.names])
@@ -79,7 +109,7 @@ class Compiler:
             return Frame(a.df.crossJoin(b.df), names, maybe)
         if not (a.maybe | b.maybe) & set(shared):
             return Frame(a.df.join(b.df, shared).select(*names), names, maybe)
-        df = a.df.join(self._aside(b, shared), self._condition(a, b, shared))
+        df = self._meet(a, b, shared, self._aside(b, shared), "inner")
         return Frame(df.select(*[F.coalesce(n, f"_r_{n}").alias(n) if n in shared else F.col(n) for n in names]), names, maybe)
 
     def optional(self, a: Frame, group: P.Group) -> Frame:
@@ -94,14 +124,17 @@ class Compiler:
         maybe = a.maybe | set(b.names) - set(a.names)
         if not a.names:
             return Frame(self.spark.range(1).join(b.df, F.lit(True), "left").select(*b.names), b.names, frozenset(b.names))
-        on = self._condition(a, b, shared)
+        on = None
         if rest:
             bound = lambda n: F.coalesce(n, f"_r_{n}") if n in shared else F.col(n) if n in names else F.lit(None).cast("string")
-            for f in rest:
-                on = on & F.coalesce(truth(Expressions(bound, self._no_exists).value(f)), F.lit(False))
-        df = a.df.join(self._aside(b, shared), on, "left")
+            on = self._all_true(rest, bound)
+        df = self._meet(a, b, shared, self._aside(b, shared), "left", on)
         return Frame(df.select(*[F.coalesce(n, f"_r_{n}").alias(n) if n in shared and n in a.maybe else F.col(n) for n in names]), names, frozenset(maybe))
 
+    def _all_true(self, filters: list, bound) -> Column | None:
+        tests = [F.coalesce(truth(Expressions(bound, self._no_exists).value(f)), F.lit(False)) for f in filters]
+        return reduce(lambda x, y: x & y, tests) if tests else None
+
     @staticmethod
     def _no_exists(_):
         raise P.SparqlError("EXISTS is not answered in an OPTIONAL's filter over outer variables")
@@ -110,6 +143,9 @@ class Compiler:
         shared = [n for n in b.names if n in a.names]
         if not shared:
             return a
+        if len(shared) == 1:
+            # What is unbound on either side is never equal, and never removes.
+            return Frame(a.df.join(self._aside(b, shared).select(f"_r_{shared[0]}"), F.col(shared[0]) == F.col(f"_r_{shared[0]}"), "left_anti"), a.names, a.maybe)
         on = self._condition(a, b, shared)
         if (a.maybe | b.maybe) & set(shared):
             both = F.lit(False)
@@ -145,7 +181,8 @@ class Compiler:
         def mark(x: P.Exists) -> Column:
             name = f"_e{len(marks)}"
             marks.append(name)
-            rows = df[0].withColumn("_id", F.monotonically_increasing_id())
+            # Written once, so that both sides of the join below see the same numbers.
+            rows = cut(df[0].withColumn("_id", F.monotonically_increasing_id()))
             hit = self._matched(Frame(rows, [*frame.names, "_id"], frame.maybe), x.group, "left_semi").select("_id", F.lit(True).alias(name))
             df[0] = rows.join(hit, "_id", "left").drop("_id").withColumn(name, F.coalesce(name, F.lit(False)))
             return ~F.col(name) if x.negated else F.col(name)
@@ -160,20 +197,17 @@ class Compiler:
             b = self.filter(b, f)
         rest = [f for f in group.filters if f not in own]
         shared = [n for n in b.names if n in a.names]
-        on = self._condition(a, b, shared)
         bound = lambda n: F.col(f"_r_{n}") if n in shared else F.col(n) if n in [*a.names, *b.names] else F.lit(None).cast("string")
-        for f in rest:
-            on = on & F.coalesce(truth(Expressions(bound, self._no_exists).value(f)), F.lit(False))
         right = self._aside(b, shared) if b.names else b.df
         if not rest and shared:
             right = right.select(*[f"_r_{n}" for n in shared]).distinct()
-        return a.df.join(right, on, how)
+        return self._meet(a, b, shared, right, how, self._all_true(rest, bound))
 
     # Patterns.
     def _rows(self, graph, p=None) -> DataFrame:
-        q = self.data.with_predicate(encode(p)) if isinstance(p, P.Iri) else self.data.quads
         if graph is None:
-            return q.select("s", "p", "o")
+            return self.data.triples(encode(p) if isinstance(p, P.Iri) else None)
+        q = self.data.with_predicate(encode(p)) if isinstance(p, P.Iri) else self.data.quads
         if isinstance(graph, P.Iri):
             return q.where(F.col("g") == encode(graph)).select("s", "p", "o")
         return q.where(F.col("g").isNotNull()).select("g", "s", "p", "o")
@@ -459,6 +493,6 @@ def select(dataset: Dataset, query: str | P.Select, prefixes: dict[str, str] | N
     return df.select(*[lexical(F.col(c)).try_cast(types[c]).alias(c) if c in types else lexical(F.col(c)).alias(c) for c in df.columns])
 
 
-def rows(df: DataFrame) -> list[dict]:
-    """Solutions as dicts of Python values without unbound variables; for results small enough to show."""
-    return [{k: decode(v) for k, v in r.asDict().items() if v is not None} for r in df.collect()]
+def rows(df: DataFrame, limit: int = 1_000) -> list[dict]:
+    """At most ``limit`` solutions as dicts of Python values without unbound variables, to be shown."""
+    return [{k: decode(v) for k, v in r.asDict().items() if v is not None} for r in df.limit(limit).collect()]

@@ -11,6 +11,7 @@ from skeinmill.operators import merge as M
 from skeinmill.operators import project as P
 from skeinmill.operators import resolve as R
 from skeinmill.operators import topics as T
+from skeinmill.plans import commands as C
 from skeinmill.sinks import files
 from skeinmill.sources import builders as B
 from skeinmill.sources import documents as D
@@ -80,7 +81,7 @@ def test_bibtex(spark):
     got = D.bibtex(docs(spark, BIB, None, ""), "doc").orderBy("pos").collect()
     assert [(r["entry_type"], r["citation_key"]) for r in got] == [("article", "Smith:2020ab"), ("misc", "k2")]
     assert got[0]["fields"]["title"] == "The {CMB} anisotropy" and got[1]["fields"]["title"] == 'A, B "and" C'
-    for bad in ("nothing", "@article{x, title = {never closed"):
+    for bad in ("nothing", "@article{x, title = {never closed", "@article{x, title}", "@article{ , title = {t}}", "@misc{, a = 1}"):
         with pytest.raises(D.SourceError):
             D.parse_bibtex(bad)
 
@@ -117,6 +118,70 @@ def test_bookmarks():
     ]
 
 
+def test_descriptions_of_folders_are_not_those_of_links():
+    got = D.parse_bookmarks('<DL><p>\n<DT><A HREF="https://a.example/">A</A>\n<DT><H3>Deep</H3>\n<DD>about the folder\n<DL><p>\n<DT><A HREF="https://b.example/">B</A>\n<DD>about B,\nin two lines\n</DL><p>\n<DD>of nothing\n<DT><A HREF="ftp://c">C</A><DD>no link\n</DL>')
+    assert [(b["title"], b["folder_path"], b["description"]) for b in got] == [("A", "Uncategorized", ""), ("B", "Deep", "about B, in two lines")]
+
+
+def test_last_value_of_each_field_in_a_batch(spark):
+    text = "@article{k, year = {2001}, journal = {One}}\n@article{k, year = {2002}, volume = {7}}"
+    found = {r["id"]: r["properties"] for r in B.from_bibtex(D.bibtex(docs(spark, text), "doc").withColumnRenamed("doc", "_doc"), "bib:1")["entities"].collect()}
+    got = found["paper:bibtex:k"]
+    assert (got["publication_year"], got["journal"], got["volume"]) == ("2002", "One", "7")
+
+
+def test_map_properties_on_any_session(spark):
+    before = spark.conf.get("spark.sql.mapKeyDedupPolicy")
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "EXCEPTION")
+    try:
+        rows = spark.createDataFrame([("a", 1, {"x": "1", "y": "1"}), ("a", 2, {"x": "2", "z": None}), ("b", 1, None), ("c", 1, {})], "id string, record_id int, properties map<string,string>")
+        got = {r["id"]: r["properties"] for r in M.merged(rows, order=["record_id"]).collect()}
+        assert got == {"a": {"x": "2", "y": "1"}, "b": {}, "c": {}}
+    finally:
+        spark.conf.set("spark.sql.mapKeyDedupPolicy", before)
+
+
+def empty_tables(spark):
+    refs = "source_refs array<struct<source_id:string,citation_key:string,source_url:string>>"
+    entity = f"id string, type string, rdf_type string, name string, identifiers map<string,string>, properties map<string,string>, {refs}"
+    shapes = {"entities": entity, "concepts": entity, "relations": f"id string, subject string, predicate string, object string, {refs}", "aliases": f"id string, alias string, kind string, entity_id string, {refs}"}
+    return {k: spark.createDataFrame([], v) for k, v in shapes.items()}
+
+
+def test_a_program_in_one_call(spark):
+    talk = "### Talk {n} of {t}\n**Authors:** Ann Smith (Uni A); Person {n} (not stated)\nAbstract {n}.\n---\n"
+    text = "# P\n## Table of Contents\n- x\n" + "".join(f"## Track {t}\n" + "".join(talk.format(n=n, t=t) for n in range(7)) for t in range(3))
+    tables, report = C.ingest_talks(empty_tables(spark), docs(spark, text), "prog:1", "event:x", "X", "x")
+    counts = {r["table_name"]: (r["before"], r["after"], r["changed"]) for r in report.collect()}
+    # 21 talks, 8 people, one place, one event; 3 tracks; 21 + 21 + 42 edges of talks and one affiliation.
+    assert counts == {"entities": (0, 31, True), "concepts": (0, 3, True), "relations": (0, 85, True), "aliases": (0, 8, True)}
+    assert P.violations(tables["entities"].select("id", "type", "name").unionByName(tables["concepts"].select("id", "type", "name")), tables["relations"]).count() == 0
+    again, report = C.ingest_talks(tables, docs(spark, text), "prog:1", "event:x", "X", "x")
+    assert all(not r["changed"] for r in report.collect())
+    gone, _ = C.ingest(again, {}, ["prog:1"])
+    assert all(t.count() == 0 for t in gone.values())
+
+
+def test_works_with_scope_and_bounded_coauthors(spark):
+    works = spark.createDataFrame([("w1", "Title", "article", "2001", {"doi": "10.1/a"}), ("w2", "Other", "article", "2002", {"arxiv": "2001.00001"})], "put_code string, title string, entry_type string, year string, identifiers map<string,string>")
+    people = spark.createDataFrame([("paper:doi:10.1/a", "Smith, Ann; Own, Me; The X Collaboration; " + "; ".join(f"N{k}, F" for k in range(30)), 33)], "id string, author_list string, author_count long")
+    own = R.is_researcher(F.col("author"), "Own", ["Me", "M."])
+    tables, report = C.ingest_works(empty_tables(spark), works, "orcid:1", "mine=collection:My papers", people, own)
+    names = {r["name"] for r in tables["entities"].where("type = 'Person'").collect()}
+    assert names == {"Ann Smith", "F N0", "F N1", "F N2", "F N3"}
+    kinds = {r["predicate"]: r["n"] for r in tables["relations"].groupBy("predicate").agg(F.count("*").alias("n")).collect()}
+    assert kinds == {"authored_by": 5, "in_scope": 2, "contains": 2} and tables["entities"].where("id = 'scope:mine' AND name = 'My papers'").count() == 1
+
+
+def test_tables_survive_a_broken_write(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(3).select(F.col("id").cast("string"))
+    assert files.write_if_changed(rows, path) and not files.write_if_changed(rows, path)
+    (tmp_path / "t").rename(tmp_path / "t.old")
+    assert not files.write_if_changed(rows, path) and (tmp_path / "t").exists()
+    assert C.stored({"t": rows.limit(1)}, str(tmp_path), dry_run=True) == {"t": True} and spark.read.parquet(path).count() == 3
+
+
 def test_html_to_markdown():
     got = D.html_to_markdown("<html><head><title>x</title></head><body><h2>Head</h2><p>a &amp; <a href='/u'>b</a><script>var p='</p>'</script><ul><li>one<li>two</ul></body>")
     assert got == "## Head\n\na & [b](/u)\n\n- one\n- two"
@@ -241,11 +306,44 @@ def test_bibtex_sink(spark, tmp_path):
     ]
     e = files.bibtex_entries(spark.createDataFrame(rows, schema), ["Survey Collaboration"], "survey", ["me, a"], "Survey")
     got = {r["citation_key"]: (r["category"], r["entry"]) for r in e.collect()}
-    assert {k: v[0] for k, v in got.items()} == {"k1": "personal", "k3": "collab", "paper_p4": "personal"}
-    assert "doi = \"10.1/a\"" in got["k1"][1] and "collaboration" in got["k3"][1] and "{Survey. Say 'x'}" in got["k3"][1]
+    assert {k: v[0] for k, v in got.items()} == {"k1": "personal", "k3": "collab", "paper_1": "personal"}
+    assert "doi = \"10.1/a\"" in got["k1"][1] and "collaboration" in got["k3"][1] and '{Survey. Say \\"x\\"}' in got["k3"][1]
     assert files.write_bibtex(e, str(tmp_path / "b")) == {"personal": 2, "collab": 1}
 
 
+def test_corporate_papers_by_edge_and_collaboration(spark):
+    schema = "id string, name string, identifiers map<string,string>, properties struct<author_list:string,collaboration:string>, source_refs array<struct<source_id:string,citation_key:string>>"
+    rows = [("p1", "A", {"doi": "10.1/(x)_"}, ("Me, A", None), None), ("p2", "B", {}, ("X; Me, A", " SURVEY collaboration "), None), ("p3", "Survey C", None, ("Survey Collaboration", None), None)]
+    edges = spark.createDataFrame([("p1", "corporate_authored_by", "i:s"), ("p1", "corporate_authored_by", "i:s"), ("p3", "corporate_authored_by", "i:other")], "subject string, predicate string, object string")
+    got = files.bibtex_entries(spark.createDataFrame(rows, schema), ["Survey Collaboration"], "survey", ["me, a"], "Survey", edges, "i:s")
+    assert {r["citation_key"]: r["category"] for r in got.collect()} == {"paper_10_1_x": "core", "paper_p2": "core", "paper_p3": "personal"}
+
+
+def test_small_functions(spark):
+    df = spark.createDataFrame([(["", "b"], '{"a": 1}', "x [1, 2] y"), ([" a "], "no", "none"), ([], None, None)], "l array<string>, o string, t string")
+    got = df.select(X.first_text(F.col("l")).alias("f"), X.json_items(F.col("t")).cast("string").alias("j")).collect()
+    assert [tuple(r) for r in got] == [(None, "[1,2]"), ("a", None), (None, None)]
+    assert [X.bool_arg(v) for v in ("Yes", " 1 ", "no", None)] == [True, True, False, False] and X.int_arg(" 7 ", 1) == 7 and X.int_arg("x", 1) == 1
+
+
+def test_store_snapshots(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"key": "k1", "name": "One", "type_key": "tag"}, {"key": "k2", "name": "Two", "type_key": "tag", "archived": true}, {"key": "k3", "name": "P", "type_key": "page"}]')
+    store = records.json_array(spark, str(tmp_path / "a.json"), "key string, name string, type_key string, archived boolean")
+    assert [tuple(r) for r in records.tag_vocabulary(store).collect()] == [("k1", "One")]
+    assert [r["key"] for r in records.live_objects(store, ["page", "task"]).collect()] == ["k3"]
+
+
+def test_stream_windows_and_first_deliveries(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = [("a", "2024-01-01T00:10:00"), ("a", "2024-01-01T00:20:00"), ("b", "2024-01-01T00:30:00"), ("c", "2024-01-09T01:00:00")]
+    (tmp_path / "in" / "1.json").write_text("\n".join(json.dumps({"id": k, "at": t}) for k, t in lines))
+    for name, build in (("once", lambda df: ingest.once_per_key(df, ["id"], "at")), ("win", lambda df: ingest.counts_per_window(df, "at", ["id"]))):
+        rows = build(ingest.contributions(spark, str(tmp_path / "in"), "id string, at timestamp"))
+        rows.writeStream.format("memory").queryName(name).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start().awaitTermination(120)
+    assert sorted(r["id"] for r in spark.table("once").collect()) == ["a", "b", "c"]
+    assert {(r["id"], r["n"]) for r in spark.table("win").collect()} == {("a", 2), ("b", 1)}
+
+
 def test_profile():
     good = {"version": 1, "key": "k", "name": "K", "namespaces": {"s": "http://s/"}, "types": [{"key": "person", "layout": "basic", "rdf_class": "s:P", "properties": [{"key": "a", "format": "text"}]}]}
     assert profile.checked(good) is good

@@ -143,3 +143,24 @@ def test_ask(tables, data):
     with pytest.raises(AskError):
         clean_query("UNANSWERABLE")
     assert problems("SELECT ?x { ?x pkg:known ?y }", {"known"}) == []
+
+
+def test_no_nested_loop_where_all_is_bound(spark):
+    rows = [(None, f"us{k}", f"up{j}", f"uo{k % 3}") for k in range(9) for j in range(3)]
+    data = Dataset(spark.createDataFrame(rows, "g string, s string, p string, o string"))
+    q = "SELECT * WHERE { ?s <p0> ?a OPTIONAL { ?s <p1> ?b } ?t <p2> ?b OPTIONAL { ?t <p0> ?c } ?u <p1> ?c }"
+    df = solutions(data, q)
+    assert df.count() == 9 * 3 * 3
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_unbound_variables_meet_everything(spark):
+    rows = [(None, "us1", "up", "ua"), (None, "us2", "up", "ub"), (None, "us1", "uq", "uc"), (None, "uc", "un", "sx"), (None, "ud", "un", "sy")]
+    data = Dataset(spark.createDataFrame(rows, "g string, s string, p string, o string"))
+    got = sorted(tuple(r) for r in solutions(data, "SELECT ?s ?v ?n WHERE { ?s <p> ?o OPTIONAL { ?s <q> ?v } ?v <n> ?n }").collect())
+    assert got == [("us1", "uc", "sx"), ("us2", "uc", "sx"), ("us2", "ud", "sy")]
+    left = sorted(tuple(r) for r in solutions(data, "SELECT ?s ?n WHERE { ?s <p> ?o OPTIONAL { ?s <q> ?v } OPTIONAL { ?v <n> ?n } }").collect())
+    assert left == [("us1", "sx"), ("us2", "sx"), ("us2", "sy")]
+    kept = sorted(r[0] for r in solutions(data, "SELECT ?s WHERE { ?s <p> ?o OPTIONAL { ?s <q> ?v } MINUS { ?v <n> ?n } }").collect())
+    assert kept == ["us2"]
