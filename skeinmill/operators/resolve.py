@@ -46,7 +46,7 @@ def unique_title_matches(left: DataFrame, right: DataFrame, title: str = "name",
     """(left_id, right_id): records whose normalised titles are equal, where the title leads to one record only."""
     one = right.where(F.col(title).isNotNull()).select(X.title_key(F.col(title)).alias("t"), F.col(key).alias("right_id")).distinct()
     one = one.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("right_id").alias("right_id")).where((F.col("n") == 1) & (F.col("t") != ""))
-    return left.where(F.col(title).isNotNull()).select(F.col(key).alias("left_id"), X.title_key(F.col(title)).alias("t")).distinct().join(one, "t").select("left_id", "right_id")
+    return left.where(F.col(title).isNotNull()).select(F.col(key).alias("left_id"), X.title_key(F.col(title)).alias("t")).distinct().join(one, "t").select("left_id", "right_id").distinct()
 
 
 def paper_identity(identifiers: str = "identifiers", key: str = "id") -> Column:

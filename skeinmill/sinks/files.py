@@ -100,7 +100,7 @@ def bibtex_entries(papers: DataFrame, markers: list[str], prefix: str, aliases:
         field("year", have("publication_year")), field("doi", get("doi")), field("keywords", F.col("category")),
     ]
     body = F.array_join(F.filter(F.array(*fields), lambda x: x.isNotNull()), ",\n")
-    return rows.select("citation_key", "category", F.concat(F.lit("@"), F.coalesce(have("entry_type"), F.lit("article")), F.lit("{"), F.col("citation_key"), F.lit(",\n"), body, F.lit("\n}\n")).alias("entry"))
+    return rows.select("citation_key", "category", F.concat(F.lit("@"), F.coalesce(F.when(have("entry_type").rlike("^[A-Za-z]+$"), have("entry_type")), F.lit("article")), F.lit("{"), F.col("citation_key"), F.lit(",\n"), body, F.lit("\n}\n")).alias("entry"))
 
 
 def repeated_keys(entries: DataFrame) -> DataFrame:
