@@ -130,13 +130,25 @@ def hot_keys(df: DataFrame, key: str) -> list:
     return [r[0] for r in counts.join(F.broadcast(total), F.col("_n") * HOT_PARTS > F.col("_total")).select(key).collect()]
 
 
+#: Bytes of a lookup up to which it is broadcast; of what was cut before, the size is measured.
+BROADCAST = 8 << 20
+
+
+def estimated_size(df: DataFrame) -> int:
+    """Bytes of a frame as planned: the size of files read and of frames cut, and for joins a product that is never too small."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def even_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """``big`` joined with ``lookup``, which has at most one row per key, however uneven the keys of ``big``.
 
-    The lookup rows of hot keys, fewer than HOT_PARTS, are broadcast at any size
-    of the data; all other rows are shuffled by key. ``how`` is ``inner`` or ``left``;
-    null keys match nothing. ``big`` is read once more to count its keys.
+    A lookup of at most BROADCAST bytes is broadcast whole. Of a larger one the rows of hot
+    keys, fewer than HOT_PARTS, are broadcast and all other rows are shuffled by
+    key; ``big`` is read once more to count its keys. ``how`` is ``inner`` or ``left``;
+    null keys match nothing.
     """
+    if estimated_size(lookup) <= BROADCAST:
+        return big.join(F.broadcast(lookup), key, how)
     hot = hot_keys(big, key)
     if not hot:
         return big.join(lookup, key, how)
