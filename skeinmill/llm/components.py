@@ -45,7 +45,6 @@ def _rake(edges: DataFrame) -> DataFrame:
     """(v, n1, n2, degree) of an independent set of vertices of degree one or two."""
     ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("u")), F.struct(F.col("b").alias("v"), F.col("a").alias("u")))).alias("x")).select("x.*")
     low = ends.groupBy("v").agg(F.count(F.lit(1)).alias("degree"), F.min("u").alias("n1"), F.max("u").alias("n2")).where(F.col("degree") <= 2)
-    low = cut(low)
     near = (
         low.select(F.explode(F.array_distinct(F.array("n1", "n2"))).alias("v"), _rank(F.col("v")).alias("r"))
         .groupBy("v")
