@@ -291,7 +291,7 @@ def _scored(one: DataFrame, other: DataFrame, vec: DataFrame, reach: int | None,
     return scored.where(F.col("cosine") >= F.col("bound") - 1e-9).select("na", "nb", "cosine")
 
 
-def cosine_pairs(keys: DataFrame, least: float | None = None, reach: int | None = None) -> DataFrame:
+def cosine_pairs(keys: DataFrame, least: float | None = None, reach: int | None = None, vec: DataFrame | None = None) -> DataFrame:
     """(a, b, cosine) of the keys (key, block, place) of one block whose vectors are alike.
 
     Keys with equal places have equal vectors: the least of them, a, stands for
@@ -301,25 +301,26 @@ def cosine_pairs(keys: DataFrame, least: float | None = None, reach: int | None
     places of a shared indexed n-gram, differ by so many characters at most; with a
     reach of 1 they have to be a single edit apart as well. Blocks are joined by block
     and n-gram together, so one with a third of all keys spreads over its n-grams.
+    ``vec`` are the ``vectors`` of all places, where they are known already.
     """
     kept = cut(keys.select("key", "block", "place"))
     reps = cut(kept.groupBy("block", "place").agg(F.min("key").alias("key")).withColumn("n", F.monotonically_increasing_id()))
     equal = kept.join(reps.select("block", "place", F.col("key").alias("a")), ["block", "place"]).where(F.col("a") != F.col("key")).select("a", F.col("key").alias("b"), F.lit(1.0).alias("cosine"))
     names = reps if reach is None else reps.where(F.length("place") > 4)
-    found = _scored(names.drop("key"), names.drop("key"), vectors(names.select("place"), least), reach, True)
+    found = _scored(names.drop("key"), names.drop("key"), vectors(names.select("place"), least) if vec is None else vec, reach, True)
     side = lambda n, k: reps.select(F.col("n").alias(n), F.col("key").alias(k))
     near = found.join(side("na", "x"), "na").join(side("nb", "y"), "nb").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "cosine")
     return equal.unionByName(near)
 
 
-def cosine_matches(asked: DataFrame, others: DataFrame) -> DataFrame:
+def cosine_matches(asked: DataFrame, others: DataFrame, vec: DataFrame) -> DataFrame:
     """(block, place, other, cosine): for each ``asked`` (block, place) the equal place of ``others`` in its block, else all one edit apart."""
     asked, others = asked.distinct(), cut(others.select("block", "place").distinct())
     met = cut(asked.join(others.select("block", "place", F.lit(1.0).alias("cosine")), ["block", "place"], "left"))
     lost = cut(met.where(F.col("cosine").isNull() & (F.length("place") > 4)).select("block", "place").withColumn("n", F.monotonically_increasing_id()))
     there = others.where(F.length("place") > 4).join(lost.select("block").distinct(), "block", "left_semi")
     there = cut(there.withColumn("n", F.monotonically_increasing_id()))
-    found = _scored(lost, there, vectors(lost.select("place").union(there.select("place"))), 1, False)
+    found = _scored(lost, there, vec, 1, False)
     near = found.join(lost.withColumnRenamed("n", "na"), "na").join(there.select(F.col("n").alias("nb"), F.col("place").alias("other")), "nb").select("block", "place", "other", "cosine")
     return met.where(F.col("cosine").isNotNull()).select("block", "place", F.col("place").alias("other"), "cosine").unionByName(near)
 
@@ -370,7 +371,7 @@ def average_linkage(pairs: DataFrame, least: float = LINKAGE, weights: DataFrame
         links = cut(moved.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("total").alias("total")))
 
 
-def spelling_groups(read: DataFrame) -> DataFrame:
+def spelling_groups(read: DataFrame, vec: DataFrame) -> DataFrame:
     """(key, cluster): spellings (type and spelling) that say in full what stands at a place, grouped.
 
     Spellings with equal vectors are one form. Two forms are linked if the cosine
@@ -381,7 +382,7 @@ def spelling_groups(read: DataFrame) -> DataFrame:
     ids times one more than the number of lesser forms it is linked with.
     """
     full = read.where(F.col("full") != "").select("entity_id", _form().alias("key"), F.concat_ws("\u0001", "type", "full").alias("block"), "place", F.lower("spelling").alias("typed"))
-    pairs = cut(cosine_pairs(full.select("key", "block", "place").distinct(), reach=1))
+    pairs = cut(cosine_pairs(full.select("key", "block", "place").distinct(), reach=1, vec=vec))
     equal = pairs.where(F.col("cosine") == 1).select(F.col("b").alias("key"), F.col("a").alias("form"))
     forms = cut(full.join(equal, "key", "left").withColumn("form", F.coalesce("form", "key")).select("entity_id", "key", "form", "typed"))
     counts = forms.groupBy("form").agg(F.count_distinct("typed").alias("ways"), F.count_distinct("entity_id").alias("ids"))
@@ -431,10 +432,14 @@ def name_groups(entities: DataFrame, aliases: DataFrame) -> DataFrame:
     """
     read, shorts = _readings(cut(spellings(entities, aliases)))
     full = read.where(F.col("full") != "").select("entity_id", _form().alias("key"), "type", "full", "place", "middle")
-    tied = cut(full.join(spelling_groups(read), "key"))
-    links = tied.select(F.concat(F.lit("k"), "cluster").alias("a"), F.concat(F.lit("i"), "entity_id").alias("b")).distinct()
-    found = components(links).where(F.col("node").startswith("i")).select(F.expr("substring(node, 2)").alias("entity_id"), "group_id")
-    known = cut(tied.select("entity_id", "type", "full", "place", "middle").distinct().join(found, "entity_id"))
+    vec = vectors(read.where(F.length("place") > 4).select("place"))
+    tied = cut(full.join(spelling_groups(read, vec), "key"))
+    # An id holds all its clusters together; one with a single cluster links nothing.
+    least = tied.groupBy("entity_id").agg(F.min("cluster").alias("least"))
+    tied = cut(tied.join(least, "entity_id"))
+    found = cut(components(tied.where(F.col("cluster") != F.col("least")).select(F.col("least").alias("a"), F.col("cluster").alias("b")).distinct()))
+    grouped = even_join(tied, found.select(F.col("node").alias("least"), "group_id"), "least", "left")
+    known = cut(grouped.select("entity_id", "type", "full", "place", "middle", F.coalesce("group_id", "least").alias("group_id")).distinct())
     settled = known.select("entity_id", "type", "group_id").distinct()
     shape = "type string, place string, hint string, middle string, group_id string"
     bearers = known.select("type", "place", "full", "middle", "group_id").distinct()
@@ -456,7 +461,7 @@ def name_groups(entities: DataFrame, aliases: DataFrame) -> DataFrame:
         .join(settled.select("entity_id"), "entity_id", "left_anti")
     )
     block = F.concat_ws("\u0001", "type", "hint")
-    met = cosine_matches(vague.select(block.alias("block"), F.col("written").alias("place")), of_group.select(block.alias("block"), "place"))
+    met = cosine_matches(vague.select(block.alias("block"), F.col("written").alias("place")), of_group.select(block.alias("block"), "place"), vec)
     met = met.select("block", F.col("place").alias("written"), F.col("other").alias("place"))
     vague = cut(vague.withColumn("block", block).join(met, ["block", "written"], "left").drop("block"))
     chosen = cut(
