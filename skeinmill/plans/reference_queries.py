@@ -115,6 +115,12 @@ def append_conflicts(spark, d):
 
 # Resolution.
 
+#: Titles without markup and entities, and their words in lower case.
+_TITLE = r"""trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(name, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'),
+  '(?i)</?(sub|sup|i|b|em|strong)\b[^>]*>', '', 'g'), '[\s\p{Z}]+', ' ', 'g'))"""
+_TITLE_KEY = rf"trim(regexp_replace(replace(lower({_TITLE}), 'ß', 'ss'), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+
+
 _FILLED = "lower(trim(v)) NOT IN ('', '-', '--', '?', 'n/a', 'n.a.', 'n/s', 'nil', 'none', 'not available', 'not given', 'not known', 'not stated', 'null', 'tbd', 'unknown', 'unspecified')"
 _NORM = r"""CASE k WHEN 'doi' THEN lower(regexp_replace(trim(v), '^(https?://(dx\.)?doi\.org/|doi:\s*)', '', 'i')) WHEN 'arxiv' THEN lower(regexp_replace(regexp_replace(trim(v), '^arxiv:\s*', '', 'i'), 'v\d+$', '', 'i')) ELSE trim(v) END"""
 _IDS = f"ids AS (SELECT id, record_id, k, {_NORM} AS v FROM (SELECT id, record_id, e.key AS k, e.value AS v FROM (SELECT id, record_id, unnest(map_entries(identifiers)) AS e FROM entities)) WHERE {_FILLED})"
@@ -133,7 +139,9 @@ def ambiguous_identifiers(spark, d):
     return R.ambiguous_identifiers(table(spark, d, "entities"))
 
 
-@_query()
+@_query(f"""WITH t AS (SELECT DISTINCT id, {_TITLE_KEY} AS k FROM entities WHERE type = 'Paper' AND name IS NOT NULL AND id IS NOT NULL),
+one AS (SELECT k, min(id) AS right_id FROM t WHERE k <> '' GROUP BY 1 HAVING count(*) = 1)
+SELECT DISTINCT id AS left_id, right_id FROM t JOIN one USING (k)""")
 def unique_title_match(spark, d):
     rows = table(spark, d, "entities")
     return R.unique_title_matches(rows.where(F.col("type") == "Paper"), rows.where(F.col("type") == "Paper"))
@@ -580,7 +588,7 @@ def slug_text(spark, d):
     return rows.select("record_id", X.plain_slug(F.col("alias")).alias("slug"))
 
 
-@_query()
+@_query(r"""SELECT record_id, coalesce(nullif(trim(regexp_replace(lower(regexp_replace(strip_accents(alias), '[^\x00-\x7f]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-'), ''), substr(sha256(alias), 1, 16)) AS slug FROM aliases WHERE alias IS NOT NULL""")
 def slug_unicode(spark, d):
     return table(spark, d, "aliases").where(F.col("alias").isNotNull()).select("record_id", X.slug(F.col("alias")).alias("slug"))
 
@@ -629,7 +637,7 @@ def author_split(spark, d):
     return table(spark, d, "entities").where(F.col("properties.author_list").isNotNull()).select("record_id", F.array_join(X.split_authors(F.col("properties.author_list")), "|").alias("names"))
 
 
-@_query()
+@_query(f"SELECT record_id, {_TITLE} AS title, {_TITLE_KEY} AS key FROM entities WHERE name IS NOT NULL")
 def title_clean(spark, d):
     return table(spark, d, "entities").where(F.col("name").isNotNull()).select("record_id", X.clean_title(F.col("name")).alias("title"), X.title_key(F.col("name")).alias("key"))
 
@@ -645,7 +653,31 @@ def bibtex_render(spark, d):
     return bibtex_entries(papers, ["Survey Collaboration"], "late", ["Wei"], "Survey")
 
 
-@_query()
+def _quads_sql() -> str:
+    """Every quad with its graph, as TriG writes it: names and properties of records, edges, aliases."""
+    quote = lambda c: f"""'"' || replace(replace(replace(replace({c}, '\\', '\\\\'), '"', '\\"'), chr(10), '\\n'), chr(13), '\\r') || '"'"""
+    iri = lambda base, c: f"'<{NAMESPACES[base]}' || url_encode({c}) || '>'"
+    p = lambda base, name: f"'<{NAMESPACES[base]}{name}>'"
+    expanded = f"""'<' || CASE split_part(rdf_type, ':', 1) {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in NAMESPACES.items())} END || substr(rdf_type, instr(rdf_type, ':') + 1) || '>'"""
+    me, facts = iri("resource", "id"), []
+    members = {"entities": _PROPS, "concepts": ("notation", "scheme", "description"), "scopes": ("scope_kind", "source_url")}
+    for t, names in members.items():
+        facts.append(f"SELECT source_refs, {me} AS s, {p('pkg', 'canonical_id')} AS p, {quote('id')} AS o FROM {t} WHERE id IS NOT NULL")
+        facts.append(f"SELECT source_refs, {me}, {p('rdf', 'type')}, {expanded} FROM {t} WHERE id IS NOT NULL AND rdf_type <> ''")
+        facts.append(f"SELECT source_refs, {me}, {p('schema', 'name')}, {quote('name')} FROM {t} WHERE id IS NOT NULL AND name <> ''")
+        for m in names:
+            whole = m in ("publication_year", "citation_count", "author_count")
+            value = f"""'"' || properties.{m} || '"^^<http://www.w3.org/2001/XMLSchema#integer>'""" if whole else quote(f"properties.{m}")
+            facts.append(f"SELECT source_refs, {me}, {p('pkg', m)}, {value} FROM {t} WHERE id IS NOT NULL AND properties.{m}::VARCHAR <> ''")
+    facts.append(f"SELECT source_refs, {iri('resource', 'subject')}, '<{NAMESPACES['pkg']}' || predicate || '>', {iri('resource', 'object')} FROM relations WHERE trim(subject) <> '' AND trim(predicate) <> '' AND trim(object) <> ''")
+    facts.append(f"SELECT source_refs, {iri('resource', 'entity_id')}, {p('schema', 'alternateName')}, {quote('alias')} FROM aliases WHERE alias <> '' AND entity_id <> ''")
+    ids = "list_filter(list_transform(coalesce(source_refs, []), lambda r: r.source_id), lambda x: x IS NOT NULL AND x <> '')"
+    return f"""WITH facts AS ({' UNION ALL '.join(facts)}),
+quads AS (SELECT DISTINCT g, s, p, o FROM (SELECT unnest(CASE WHEN len({ids}) = 0 THEN [NULL] ELSE {ids} END) AS g, s, p, o FROM facts))
+SELECT '{"u" + NAMESPACES["source"]}' || url_encode(g) AS g, CASE WHEN g IS NULL THEN s || ' ' || p || ' ' || o || ' .' ELSE {iri('source', 'g')} || ' {{ ' || s || ' ' || p || ' ' || o || ' . }}' END AS line FROM quads"""
+
+
+@_query(_quads_sql())
 def trig_render(spark, d):
     from skeinmill.operators.graph import trig_lines
     from skeinmill.plans.sparql_queries import graph
