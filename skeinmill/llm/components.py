@@ -27,6 +27,8 @@ from skeinmill.session import cut
 
 #: Core links that one task solves in memory (two ids each).
 CHUNK = 100_000
+#: Rounds of raking that any graph gets, and links few enough to be left to the core after them.
+ROUNDS, FEW = 3, 1_000
 
 
 def _undirected(links: DataFrame) -> DataFrame:
@@ -101,12 +103,13 @@ def components(links: DataFrame, chunk: int = CHUNK, least_gain: float = 0.05) -
     """(node, group_id) for every vertex of ``links`` (a, b STRING): group_id is the group's least vertex.
 
     Null ends and links of a vertex with itself link nothing; repeated and
-    reversed links count once. Raking ends when no link is left or a round takes
-    less than ``least_gain`` of them, which changes the work but not the result.
+    reversed links count once. Raking ends when no link is left, when after ROUNDS
+    the rest is FEW or fewer links, or when a round takes less than ``least_gain`` of
+    them, which changes the work but not the result.
     """
     edges = cut(_undirected(links))
     hooks, n = [], edges.count()
-    while n:
+    while n and (len(hooks) < ROUNDS or n > FEW):
         raked = cut(_rake(edges))
         hooks.append(raked.select(F.col("v").alias("node"), F.col("n1").alias("parent")))
         both = F.array(F.struct(F.least("v", "n1").alias("a"), F.greatest("v", "n1").alias("b")), F.struct(F.least("v", "n2").alias("a"), F.greatest("v", "n2").alias("b")))

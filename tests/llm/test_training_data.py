@@ -46,8 +46,10 @@ def brute_groups(links):
     return {x: find(x) for x in root}
 
 
-def test_components_of_mixed_shapes(spark):
-    random.seed(4)
+@pytest.mark.parametrize("few", [0, 100, 1_000])
+def test_components_of_mixed_shapes(spark, monkeypatch, few):
+    monkeypatch.setattr(C, "FEW", few)
+    random.seed(few)
     p = [f"{i:04}" for i in range(900)]
     random.shuffle(p)
     links = [(p[i], p[i + 1]) for i in range(150)] + [(p[200], p[i]) for i in range(201, 300)] + [(p[300 + i], p[300 + (i + 1) % 60]) for i in range(60)]
