@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -151,3 +152,37 @@ def enriched(entities: DataFrame, docs: DataFrame, key: str = "id") -> DataFrame
     have = entities.select(F.col(key), F.try_element_at("identifiers", F.lit("doi")).alias("_doi"), F.try_element_at("identifiers", F.lit("arxiv")).alias("_arxiv"))
     missing = F.when(F.col("property") == "doi", F.col("_doi").isNull()).when(F.col("property") == "arxiv_id", F.col("_arxiv").isNull()).otherwise(True)
     return d.join(have, key).where(F.col("value").isNotNull() & (F.col("value") != "") & (F.col("force") | missing)).select(key, "property", "value")
+
+
+def retrying(call: Callable, retries: int = 4, wait: float = 1.2, longest: float = 10.0, sleep: Callable[[float], None] = time.sleep) -> Callable:
+    """``call`` tried again while it is turned away for now.
+
+    An error's ``status`` of 429, one of 5xx and none at all (a broken connection) are tried again after a
+    wait that grows linearly up to ``longest``; any other status says that the request itself is wrong, and is raised at once.
+    """
+
+    def run(*args, **kw):
+        for k in range(retries + 1):
+            try:
+                return call(*args, **kw)
+            except Exception as x:
+                status = getattr(x, "status", None)
+                if k == retries or not (status is None or status == 429 or status >= 500):
+                    raise
+            sleep(min(wait * (k + 1), longest))
+
+    return run
+
+
+def first_of(*backends: Callable) -> Callable:
+    """A callable that asks one backend after another until one answers (S14); the last one's error stands if none does."""
+
+    def run(*args, **kw):
+        for k, backend in enumerate(backends):
+            try:
+                return backend(*args, **kw)
+            except Exception:
+                if k == len(backends) - 1:
+                    raise
+
+    return run

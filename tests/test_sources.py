@@ -344,6 +344,31 @@ def test_stream_windows_and_first_deliveries(spark, tmp_path):
     assert {(r["id"], r["n"]) for r in spark.table("win").collect()} == {("a", 2), ("b", 1)}
 
 
+def test_retries_and_backends():
+    class Refused(Exception):
+        def __init__(self, status):
+            self.status = status
+
+    def failing(*statuses):
+        left = list(statuses)
+
+        def call(x):
+            if left:
+                raise Refused(left.pop(0))
+            return x
+
+        return call
+
+    waits = []
+    assert rest.retrying(failing(429, 503, None), sleep=waits.append, wait=4)("a") == "a" and waits == [4, 8, 10]
+    for statuses, retries in (((404,), 4), ((429, 429), 1)):
+        with pytest.raises(Refused):
+            rest.retrying(failing(*statuses), retries, sleep=waits.append)("a")
+    assert rest.first_of(failing(404), lambda x: x + "!")("a") == "a!"
+    with pytest.raises(Refused):
+        rest.first_of(failing(500), failing(404))("a")
+
+
 def test_profile():
     good = {"version": 1, "key": "k", "name": "K", "namespaces": {"s": "http://s/"}, "types": [{"key": "person", "layout": "basic", "rdf_class": "s:P", "properties": [{"key": "a", "format": "text"}]}]}
     assert profile.checked(good) is good
