@@ -685,7 +685,7 @@ def trig_render(spark, d):
     return trig_lines(graph(spark, d).quads)
 
 
-@_query()
+@_query(r"""SELECT doc_id, 0::INT AS pos, '# Page' || coalesce(chr(10) || chr(10) || nullif(trim(regexp_replace(text, '[\s\v\p{Z}\x1c-\x1f\x{85}]+', ' ', 'g')), ''), '') AS markdown FROM documents""")
 def html_text_extract(spark, d):
     from skeinmill.sources.documents import parsed, html_to_markdown
 

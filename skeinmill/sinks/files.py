@@ -77,8 +77,10 @@ def bibtex_entries(papers: DataFrame, markers: list[str], prefix: str, aliases:
     members = [f.name for f in papers.schema["properties"].dataType.fields] if isinstance(papers.schema["properties"].dataType, T.StructType) else None
     have = (lambda k: p(k)) if members is None else (lambda k: p(k) if k in members else F.lit(None).cast("string"))
     filled = F.size(F.filter(F.array(*[p(m) for m in members]), lambda x: x.isNotNull())) if members else F.size("properties")
-    best = R.best_records(papers, filled + F.size(F.coalesce("identifiers", F.create_map().cast("map<string,string>"))), R.paper_identity())
-    rows = papers.join(best.select("id"), "id").dropDuplicates(["id"])
+    score = filled + F.size(F.coalesce("identifiers", F.create_map().cast("map<string,string>")))
+    # One record stands for an identity, of several contributions about its id the fullest; what is left of ties is settled by content.
+    rank = F.struct(score, F.col("id"), F.to_json(F.struct(*papers.columns)))
+    rows = papers.groupBy(R.paper_identity().alias("_identity")).agg(F.max_by(F.struct(*papers.columns), rank).alias("r")).select("r.*")
     if relations is None:
         corporate = R.is_corporate(F.col("name"), have("author_list"), markers, prefix)
     else:
