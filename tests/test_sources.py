@@ -173,6 +173,30 @@ def test_works_with_scope_and_bounded_coauthors(spark):
     assert kinds == {"authored_by": 5, "in_scope": 2, "contains": 2} and tables["entities"].where("id = 'scope:mine' AND name = 'My papers'").count() == 1
 
 
+def test_runs_over_the_tables(spark):
+    from skeinmill.session import table
+
+    tables = {t: table(spark, "/root/testdata/sf0.001", t) for t in C.TABLES}
+    corporate = R.is_corporate(F.col("name"), F.col("properties.author_list"), ["Survey Collaboration"], "late")
+    small = {"relations": tables["relations"].select("id", "subject", "predicate", "object", "source_refs"), "entities": tables["entities"]}
+    out, report = C.reconcile(small, corporate, "institution:name:s")
+    assert report.first()["changed"]
+    sources = {r["s"]: r["n"] for r in out["relations"].select(F.explode("source_refs.source_id").alias("s")).groupBy("s").agg(F.count("*").alias("n")).collect()}
+    people = R.bounded_authors(tables["entities"].where("type = 'Paper' AND properties.author_list IS NOT NULL"), "properties.author_list", "id", "properties.author_count")
+    assert sources["derived:bounded-authors"] == R.author_edges(people, "x").count() > 0
+    again, report = C.reconcile({**small, **out}, corporate, "institution:name:s")
+    assert not report.first()["changed"] and again["relations"].count() == out["relations"].count()
+    made = C.materialize(tables)
+    assert made["list_views"].count() == made["collections"].count() and made["relations"].count() > 0 and made["violations"].count() > 0
+    papers = C.export_bibtex(tables, ["Survey Collaboration"], "late", ["Wei"], "Survey", "institution:name:s")
+    assert papers.count() > 0
+    live = spark.createDataFrame([("o1", "concept", "New Idea", None), ("o2", "concept", "new idea", "")], "object_id string, type_key string, name string, canonical_id string")
+    edges = spark.createDataFrame([("o1", "broader", "o3"), ("o1", "broader", "o9")], "object_id string, property string, target string")
+    got = C.pull(tables, live, edges, spark.createDataFrame([("o3", "concept:x:y")], "object_id string, id string"))
+    assert sorted((r["object_id"], r["action"]) for r in got["concepts"].collect()) == [("o1", "adopt"), ("o2", "conflict")]
+    assert {(r["subject"], r["object"], r["target"], r["action"]) for r in got["edges"].collect()} == {("concept:store:new-idea", None, "o9", "unresolved"), ("concept:store:new-idea", "concept:x:y", "o3", "add")}
+
+
 def test_tables_survive_a_broken_write(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(3).select(F.col("id").cast("string"))
